@@ -34,7 +34,7 @@ def bucket_of(column: Column, buckets: int = BUCKETS) -> Column:
 class UpsertTable:
     """Rows by key, last write wins.
 
-    ``day_column`` splits the merged rows by date as well, so that compaction rewrites only
+    ``day_column``, one of the keys, splits the merged rows by date as well, so that compaction rewrites only
     the days that changed and retention drops whole folders. ``null_key`` says what happens
     to a row without a full key: ``"error"`` stops the write, ``"drop"`` leaves the row out.
     """
@@ -50,6 +50,8 @@ class UpsertTable:
     ) -> None:
         if null_key not in ("error", "drop"):
             raise ValueError(f"null_key must be 'error' or 'drop', not {null_key!r}")
+        if day_column is not None and day_column not in keys:
+            raise ValueError("day_column must be a key column: a key may not change its day")
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.buckets, self.day_column, self.null_key = buckets, day_column, null_key
         self._versions = Versions(spark, self.path)

@@ -1,0 +1,195 @@
+"""Windows whose state expires by idle processing time instead of by event time.
+
+A late row after expiry starts its window afresh and overwrites the fuller result, so what
+comes out depends on when rows arrive. This is the variant for those who need exactly that;
+``tumble_pivot`` is the one to use otherwise.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from wardline.functions import ntz
+from wardline.operators.enrich import stage_clock
+from wardline.schemas import SCORES
+from wardline.vitals import CODES, PREFIXES, STATE_TTL_MS, WINDOW
+
+_STAGES = ("measurement", "ingestion", "enrichment", "routing", "scoring")
+_BILLION = 1_000_000_000
+_N = len(CODES)
+
+# Everything one window needs: highest values and scores, trust sums (in billionths) and
+# counts per vital sign, and the earliest stage times in microseconds. NaN is the highest of
+# values, but pandas cannot tell it from a missing one, so it has a flag of its own.
+_STATE = T.StructType(
+    [
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+        T.StructField("nans", T.ArrayType(T.BooleanType())),
+        T.StructField("points", T.ArrayType(T.IntegerType())),
+        T.StructField("sums", T.ArrayType(T.LongType())),
+        T.StructField("counts", T.ArrayType(T.LongType())),
+        T.StructField("firsts", T.ArrayType(T.LongType())),
+    ]
+)
+_OUT = T.StructType(
+    [T.StructField("patient_id", T.StringType()), T.StructField("window", T.LongType()), *_STATE]
+)
+
+
+def _best(now: Any, new: Any) -> Any:
+    return new if now is None or (new is not None and new > now) else now
+
+
+class _Accumulate(StatefulProcessor):
+    """Keeps the running aggregates of one patient and window."""
+
+    def __init__(self, ttl_ms: int) -> None:
+        self._ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("window", _STATE, ttlDurationMs=self._ttl_ms)
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        kept = self._state.get() if self._state.exists() else None
+        values, nans, points, sums, counts, firsts = (
+            map(list, kept)
+            if kept is not None
+            else (
+                [None] * _N,
+                [False] * _N,
+                [None] * _N,
+                [0] * _N,
+                [0] * _N,
+                [None] * len(_STAGES),
+            )
+        )
+        for chunk in rows:
+            for kind, part in chunk.groupby("kind"):
+                i = int(kind)
+                value, score, trust = part["value"].max(), part["score"].max(), part["trust"]
+                values[i] = _best(values[i], None if pd.isna(value) else float(value))
+                nans[i] = bool(nans[i] or part["nan"].any())
+                points[i] = _best(points[i], None if pd.isna(score) else int(score))
+                sums[i] += int(trust.sum())
+                counts[i] += int(trust.count())
+            for j, stage in enumerate(_STAGES):
+                first = chunk[stage].min()
+                if not pd.isna(first) and (firsts[j] is None or first < firsts[j]):
+                    firsts[j] = int(first)
+        self._state.update((values, nans, points, sums, counts, firsts))
+        yield pd.DataFrame(
+            {
+                "patient_id": [key[0]],
+                "window": [int(key[1])],
+                "values": [values],
+                "nans": [nans],
+                "points": [points],
+                "sums": [sums],
+                "counts": [counts],
+                "firsts": [firsts],
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def tumble_pivot_ttl(
+    scored: DataFrame, ttl_ms: int = STATE_TTL_MS, window: str = WINDOW, clock: Any = None
+) -> DataFrame:
+    """``tumble_pivot`` for streams, with state that expires after ``ttl_ms`` without a row.
+
+    Needs ``ttl_settings`` around the start of the query. The processor takes its rows in
+    chunks and keeps a fixed amount per window.
+    """
+    def micros(column: str) -> Any:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    codes = F.array(*(F.lit(c) for c in CODES))
+    rows = scored.select(
+        "patient_id",
+        micros_of_start(window).alias("window"),
+        (F.array_position(codes, F.col("measurement_type")) - 1).cast("int").alias("kind"),
+        "value",
+        F.coalesce(F.isnan("value"), F.lit(False)).alias("nan"),
+        F.col("score").cast("double").alias("score"),
+        F.rint(F.col("trust_score") * _BILLION).alias("trust"),
+        *(micros(f"{s}_timestamp").cast("double").alias(s) for s in _STAGES),
+    )
+    kept = rows.groupBy("patient_id", "window").transformWithStateInPandas(
+        _Accumulate(ttl_ms), _OUT, outputMode="Update", timeMode="ProcessingTime"
+    )
+    columns = []
+    for i, p in enumerate(PREFIXES):
+        columns += [
+            F.when(F.col("nans")[i], F.lit(float("nan")))
+            .otherwise(F.col("values")[i])
+            .alias(f"{p}_value"),
+            F.coalesce(F.col("points")[i], F.lit(0)).cast("double").alias(f"{p}_score"),
+            F.coalesce(
+                F.when(
+                    F.col("counts")[i] > 0,
+                    F.col("sums")[i].cast("double")
+                    / (F.col("counts")[i] * _BILLION).cast("double"),
+                ),
+                F.lit(0.0),
+            ).alias(f"{p}_trust_score"),
+        ]
+    start = F.timestamp_micros(F.col("window"))
+    return (
+        kept.select(
+            "patient_id",
+            ntz(start).alias("window_start"),
+            ntz(start + F.expr(f"INTERVAL {window}")).alias("window_end"),
+            *columns,
+            *(
+                ntz(F.timestamp_micros(F.col("firsts")[j])).alias(f"{s}_timestamp")
+                for j, s in enumerate(_STAGES)
+            ),
+        )
+        .withColumn("union_timestamp", ntz(stage_clock(clock)))
+        .select(*SCORES.names)
+    )
+
+
+def micros_of_start(window: str) -> Any:
+    """Start of the window that holds the measurement time, in microseconds."""
+    return F.unix_micros(
+        F.window(F.col("measurement_timestamp").cast("timestamp"), window).start.cast("timestamp")
+    )
+
+
+@contextmanager
+def ttl_settings(spark: SparkSession) -> Iterator[None]:
+    """Session settings for state with a lifetime, put back afterwards.
+
+    Such state needs the RocksDB store. Batches without data are switched off, because with a
+    processing-time mode they would keep a run that should end going for ever.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
