@@ -1,4 +1,4 @@
-"""Time arithmetic that does not depend on the session zone."""
+"""Time arithmetic that does not depend on the session zone; arguments as in ``readings``."""
 
 from __future__ import annotations
 
@@ -11,17 +11,17 @@ def ntz(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
-def whole_seconds(start: Column, end: Column) -> Column:
+def whole_seconds(start: str, end: str) -> Column:
     """Whole seconds from start to end, cut toward zero (0.9 s is 0, -0.9 s is 0)."""
-    return F.timestamp_diff("SECOND", start, end)
+    return F.expr(f"timestampdiff(SECOND, {start}, {end})")
 
 
-def whole_hours(start: Column, end: Column) -> Column:
+def whole_hours(start: str, end: str) -> Column:
     """Whole hours from start to end, cut toward zero (1 h 59 min is 1)."""
-    return F.timestamp_diff("HOUR", start, end)
+    return F.expr(f"timestampdiff(HOUR, {start}, {end})")
 
 
-def half_hour(ts: Column) -> Column:
+def half_hour(ts: str) -> Column:
     """The start of the half hour that holds a time."""
-    hour = ntz(F.date_trunc("hour", ts))
-    return F.timestamp_add("MINUTE", (F.floor(F.minute(ts) / 30) * 30).cast("int"), hour)
+    hour = f"cast(date_trunc('hour', {ts}) AS timestamp_ntz)"
+    return F.expr(f"timestampadd(MINUTE, 30 * int(floor(minute({ts}) / 30)), {hour})")

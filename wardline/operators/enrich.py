@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from wardline.functions import (
     freshness_weight,
     parse_value,
-    parse_value_or_null,
     patient_id,
     quality_weight,
 )
@@ -25,12 +24,15 @@ def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     Bad are readings whose value is no number or not finite, and those without a measurement
     time, which no window could hold. The bad ones get a ``problem`` column.
     """
-    number = parse_value_or_null(F.col("raw_value"))
-    not_finite = F.isnan(number) | number.isin(float("inf"), float("-inf"))
-    problem = (
-        F.when(F.col("measurement_timestamp").isNull(), F.lit("no measurement time"))
-        .when(F.col("raw_value").isNotNull() & number.isNull(), F.lit("not a number"))
-        .when(not_finite, F.lit("not finite"))
+    problem = F.expr(
+        """
+        CASE WHEN measurement_timestamp IS NULL THEN 'no measurement time'
+             WHEN raw_value IS NOT NULL AND try_cast(raw_value AS double) IS NULL
+               THEN 'not a number'
+             WHEN isnan(try_cast(raw_value AS double))
+               OR abs(try_cast(raw_value AS double)) = double('Infinity') THEN 'not finite'
+        END
+        """
     )
     good = raw.filter(problem.isNull())
     bad = raw.withColumn("problem", problem).filter(F.col("problem").isNotNull())
@@ -46,26 +48,24 @@ def enrich(raw: DataFrame, on_bad: str = "fail", clock: Column | None = None) ->
     """
     if on_bad == "quarantine":
         raw, _ = split_bad(raw)
-        measured = F.col("measurement_timestamp")
+        measured = "measurement_timestamp"
     elif on_bad == "fail":
-        kind = raw.schema["measurement_timestamp"].dataType
-        measured = F.coalesce(
-            F.col("measurement_timestamp"),
-            F.raise_error(F.lit("reading without a measurement time")).cast(kind),
+        kind = raw.schema["measurement_timestamp"].dataType.simpleString()
+        measured = (
+            "coalesce(measurement_timestamp, "
+            f"cast(raise_error('reading without a measurement time') AS {kind}))"
         )
     else:
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
     return raw.select(
         "measurement_type",
-        parse_value(F.col("raw_value")).alias("value"),
+        parse_value("raw_value").alias("value"),
         "device_id",
-        patient_id(F.col("device_id")).alias("patient_id"),
-        quality_weight(F.col("device_id"), F.col("battery"), F.col("signal_strength")).alias(
-            "quality_weight"
-        ),
-        freshness_weight(F.col("measurement_timestamp"), F.col("ingestion_timestamp")).alias(
+        patient_id("device_id").alias("patient_id"),
+        quality_weight("device_id", "battery", "signal_strength").alias("quality_weight"),
+        freshness_weight("measurement_timestamp", "ingestion_timestamp").alias(
             "freshness_weight"
         ),
-        measured.alias("measurement_timestamp"),
+        F.expr(measured).alias("measurement_timestamp"),
         "ingestion_timestamp",
     ).select("*", stage_clock(clock).alias("enrichment_timestamp"))

@@ -15,15 +15,13 @@ from wardline.schemas import SCORED
 
 def score_vital(routed: DataFrame, code: str, clock: Column | None = None) -> DataFrame:
     """Score the routed readings of one vital sign; the device id ends here."""
-    scored = routed.withColumn("score", vital_score(F.col("value"), code))
+    scored = routed.withColumn("score", vital_score("value", code))
     return scored.withColumn("scoring_timestamp", stage_clock(clock)).select(*SCORED.names)
 
 
 def score_together(routed: DataFrame, clock: Column | None = None) -> DataFrame:
     """Score readings of all vital signs in one pass over a relation that keeps the type."""
-    scored = routed.withColumn(
-        "score", reading_score(F.col("measurement_type"), F.col("value"))
-    )
+    scored = routed.withColumn("score", reading_score("measurement_type", "value"))
     return scored.withColumn("scoring_timestamp", stage_clock(clock)).select(
         "measurement_type", *SCORED.names
     )
@@ -46,6 +44,4 @@ def union_scores(parts: dict[str, DataFrame]) -> DataFrame:
 
 def with_trust(scored: DataFrame) -> DataFrame:
     """Add the trust score of each reading."""
-    return scored.withColumn(
-        "trust_score", trust_score(F.col("quality_weight"), F.col("freshness_weight"))
-    )
+    return scored.withColumn("trust_score", trust_score("quality_weight", "freshness_weight"))

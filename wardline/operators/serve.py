@@ -35,7 +35,7 @@ def half_hour_mean(
         rows = rows.filter(F.col(column) > 0)
     keys = [] if patient_id is not None else ["patient_id"]
     return (
-        rows.groupBy(*keys, half_hour(F.col("window_start")).alias("time_window"))
+        rows.groupBy(*keys, half_hour("window_start").alias("time_window"))
         .agg(F.avg(column).alias("mean"))
         .orderBy(*keys, "time_window")
     )
@@ -44,10 +44,10 @@ def half_hour_mean(
 def half_hour_all(final: DataFrame) -> DataFrame:
     """All eight trends of every patient in one pass and one shuffle."""
     means = [
-        F.avg(F.when(F.col(column) > 0, F.col(column)) if positive else F.col(column)).alias(name)
+        F.expr(f"avg({column})" + (f" FILTER (WHERE {column} > 0)" if positive else "")).alias(name)
         for name, (column, positive) in TRENDS.items()
     ]
-    return final.groupBy("patient_id", half_hour(F.col("window_start")).alias("time_window")).agg(
+    return final.groupBy("patient_id", half_hour("window_start").alias("time_window")).agg(
         *means
     )
 
@@ -87,9 +87,9 @@ def stage_latency(final: DataFrame) -> DataFrame:
     """Mean latency in whole seconds, overall and for each of the five hops."""
     return final.agg(
         *(
-            F.avg(
-                whole_seconds(F.col(f"{start}_timestamp"), F.col(f"{end}_timestamp"))
-            ).alias(f"avg_{name}_latency")
+            F.avg(whole_seconds(f"{start}_timestamp", f"{end}_timestamp")).alias(
+                f"avg_{name}_latency"
+            )
             for name, start, end in _HOPS
         )
     )
@@ -98,10 +98,10 @@ def stage_latency(final: DataFrame) -> DataFrame:
 def max_latency(final: DataFrame) -> DataFrame:
     """Longest time from ingestion to aggregation and from aggregation to storage, in seconds."""
     return final.agg(
-        F.max(
-            whole_seconds(F.col("ingestion_timestamp"), F.col("aggregation_timestamp"))
-        ).alias("i2s_max_diff"),
-        F.max(
-            whole_seconds(F.col("aggregation_timestamp"), F.col("storage_timestamp"))
-        ).alias("max_storage_diff"),
+        F.max(whole_seconds("ingestion_timestamp", "aggregation_timestamp")).alias(
+            "i2s_max_diff"
+        ),
+        F.max(whole_seconds("aggregation_timestamp", "storage_timestamp")).alias(
+            "max_storage_diff"
+        ),
     )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +16,12 @@ def totals(scores: DataFrame, clock: Column | None = None) -> DataFrame:
 
     Both are plain sums over the six vital signs; a missing one adds 0.
     """
-    score = reduce(add, (F.col(f"{p}_score") for p in PREFIXES))
-    trust = reduce(add, (F.col(f"{p}_trust_score") for p in PREFIXES))
+    sums = {
+        "news2_score": " + ".join(f"{p}_score" for p in PREFIXES),
+        "news2_trust_score": " + ".join(f"{p}_trust_score" for p in PREFIXES),
+    }
     return (
-        scores.withColumn("news2_score", score)
-        .withColumn("news2_trust_score", trust)
+        scores.selectExpr("*", *(f"{text} AS {name}" for name, text in sums.items()))
         .withColumn("aggregation_timestamp", ntz(stage_clock(clock)))
         .select(*TOTALS.names)
     )
@@ -37,15 +35,17 @@ def mean_trust(final: DataFrame) -> DataFrame:
 def load_typed(final: DataFrame, clock: Column | None = None) -> DataFrame:
     """The stored form: times cut to whole seconds, load time added where none is given."""
     columns = [
-        ntz(F.date_trunc("second", F.col(f.name))).alias(f.name)
+        f"date_trunc('second', {f.name})::timestamp_ntz AS {f.name}"
         if f.dataType.typeName() == "timestamp_ntz"
-        else F.col(f.name)
+        else f.name
         for f in TOTALS
     ]
     stored = ntz(F.date_trunc("second", stage_clock(clock)))
-    return final.select(*columns).withColumn("storage_timestamp", stored).select(*STORED.names)
+    return (
+        final.selectExpr(*columns).withColumn("storage_timestamp", stored).select(*STORED.names)
+    )
 
 
 def with_risk(final: DataFrame) -> DataFrame:
     """Add the colour band of the total score."""
-    return final.withColumn("risk", risk_band(F.col("news2_score")))
+    return final.withColumn("risk", risk_band("news2_score"))

@@ -39,45 +39,36 @@ def tumble_pivot(
         )
         if lateness is not None:
             scored = scored.withWatermark("measurement_timestamp", lateness)
-    billionths = F.rint(F.col("trust_score") * _BILLION).cast("bigint")
-
-    sums: list[Column] = []
-    wide: list[Column] = []
-    scores: list[Column] = []
-    trusts: list[Column] = []
+    sums, wide, scores, trusts = [], [], [], []
     for vital in VITALS:
-        mine = F.col("measurement_type") == vital.code
+        mine = f"FILTER (WHERE measurement_type = '{vital.code}')"
         name = vital.prefix
         sums += [
-            F.max(F.when(mine, F.col("value"))).alias(f"{name}_value"),
-            F.max(F.when(mine, F.col("score"))).alias(f"{name}_points"),
-            F.sum(F.when(mine, billionths)).alias(f"{name}_trust_sum"),
-            F.count(F.when(mine, F.col("trust_score"))).alias(f"{name}_trust_n"),
+            f"max(value) {mine} AS {name}_value",
+            f"max(score) {mine} AS {name}_points",
+            f"sum(bigint(rint(trust_score * {_BILLION}))) {mine} AS {name}_sum",
+            f"count(trust_score) {mine} AS {name}_n",
         ]
-        wide.append(F.col(f"{name}_value"))
-        scores.append(
-            F.coalesce(F.col(f"{name}_points"), F.lit(0)).cast("double").alias(f"{name}_score")
-        )
-        mean = F.when(
-            F.col(f"{name}_trust_n") > 0,
-            F.col(f"{name}_trust_sum").cast("double")
-            / (F.col(f"{name}_trust_n") * F.lit(_BILLION)).cast("double"),
+        wide.append(f"{name}_value")
+        scores.append(f"double(coalesce({name}_points, 0)) AS {name}_score")
+        trusts.append(
+            f"coalesce(if({name}_n > 0, double({name}_sum) / double({name}_n * {_BILLION}), NULL)"
+            f", 0D) AS {name}_trust_score"
         )
-        trusts.append(F.coalesce(mean, F.lit(0.0)).alias(f"{name}_trust_score"))
-    sums += [F.min(f"{stage}_timestamp").alias(f"{stage}_first") for stage in _STAGES]
+    sums += [f"min({stage}_timestamp) AS {stage}_first" for stage in _STAGES]
 
     grouped = scored.groupBy(
         "patient_id", F.window("measurement_timestamp", window).alias("window")
-    ).agg(*sums)
+    ).agg(*map(F.expr, sums))
     return (
-        grouped.select(
+        grouped.selectExpr(
             "patient_id",
-            ntz(F.col("window.start")).alias("window_start"),
-            ntz(F.col("window.end")).alias("window_end"),
+            "window.start::timestamp_ntz AS window_start",
+            "window.end::timestamp_ntz AS window_end",
             *wide,
             *scores,
             *trusts,
-            *(ntz(F.col(f"{stage}_first")).alias(f"{stage}_timestamp") for stage in _STAGES),
+            *(f"{stage}_first::timestamp_ntz AS {stage}_timestamp" for stage in _STAGES),
         )
         .withColumn("union_timestamp", ntz(stage_clock(clock)))
         .select(*SCORES.names)

@@ -85,7 +85,7 @@ def _(spark, sf):
         "device_id",
         "measurement_timestamp",
         "raw_value",
-        X.parse_value(F.col("raw_value")).alias("value"),
+        X.parse_value("raw_value").alias("value"),
     )
 
 
@@ -104,7 +104,7 @@ def _(spark, sf):
 @query("patient_id_extract")
 def _(spark, sf):
     rows = raw_readings(spark, sf)
-    return rows.select("device_id", X.patient_id(F.col("device_id")).alias("patient_id"))
+    return rows.select("device_id", X.patient_id("device_id").alias("patient_id"))
 
 
 @query("quality_factors")
@@ -113,15 +113,15 @@ def _(spark, sf):
         "device_id",
         "battery",
         "signal_strength",
-        X.device_tier_factor(F.col("device_id")).alias("tier_factor"),
-        X.battery_factor(F.col("battery")).alias("battery_factor"),
-        X.signal_factor(F.col("signal_strength")).alias("signal_factor"),
+        X.device_tier_factor("device_id").alias("tier_factor"),
+        X.battery_factor("battery").alias("battery_factor"),
+        X.signal_factor("signal_strength").alias("signal_factor"),
     )
 
 
 @query("quality_weight")
 def _(spark, sf):
-    weight = X.quality_weight(F.col("device_id"), F.col("battery"), F.col("signal_strength"))
+    weight = X.quality_weight("device_id", "battery", "signal_strength")
     return raw_readings(spark, sf).select(
         "device_id", "battery", "signal_strength", weight.alias("quality_weight")
     )
@@ -129,7 +129,7 @@ def _(spark, sf):
 
 @query("freshness_weight")
 def _(spark, sf):
-    start, end = F.col("measurement_timestamp"), F.col("ingestion_timestamp")
+    start, end = "measurement_timestamp", "ingestion_timestamp"
     return raw_readings(spark, sf).select(
         "device_id",
         start,

@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BASE = dt.datetime(2024, 1, 1)
-
 
-def _later(column: str, millis: Column) -> Column:
-    return F.timestamp_add("MILLISECOND", millis.cast("int"), F.col(column))
+def _later(column: str, millis: str) -> Column:
+    return F.expr(f"timestampadd(MILLISECOND, {millis}, {column})")
 
 
 def enrichment() -> Column:
-    return _later(
-        "ingestion_timestamp", F.second(F.col("measurement_timestamp")) % 3 * 1000 + 1400
-    )
+    return _later("ingestion_timestamp", "1400 + 1000 * (second(measurement_timestamp) % 3)")
 
 
 def routing() -> Column:
-    return _later(
-        "enrichment_timestamp", F.minute(F.col("measurement_timestamp")) % 2 * 1000 + 300
-    )
+    return _later("enrichment_timestamp", "300 + 1000 * (minute(measurement_timestamp) % 2)")
 
 
 def scoring() -> Column:
-    return _later("routing_timestamp", F.second(F.col("measurement_timestamp")) % 4 * 1000 + 1700)
+    return _later("routing_timestamp", "1700 + 1000 * (second(measurement_timestamp) % 4)")
 
 
 def union() -> Column:
-    return _later("scoring_timestamp", F.lit(2500))
+    return _later("scoring_timestamp", "2500")
 
 
 def aggregation() -> Column:
-    return _later("union_timestamp", F.lit(1200))
+    return _later("union_timestamp", "1200")
 
 
 def storage() -> Column:
-    return _later("aggregation_timestamp", F.minute(F.col("window_start")) % 5 * 1000)
+    return _later("aggregation_timestamp", "1000 * (minute(window_start) % 5)")

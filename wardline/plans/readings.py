@@ -13,9 +13,7 @@ engine derives exactly the same readings:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from wardline.plans.clocks import BASE
 from wardline.session import spread
 from wardline.vitals import CODES
 
@@ -29,7 +27,6 @@ _SHAPES = (
     (3400, 30, 610, 13, 5),
     (0, 100, 400, 1, 0),
 )
-_SHAPE_FIELDS = ("lowest", "step", "span", "every", "extra")
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,64 +37,36 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings_from_events(events: DataFrame) -> DataFrame:
     """Six readings per event; needs ``event_id`` and ``user_id`` only."""
-    e = F.col("event_id")
-    cohort, step = F.floor(e / 10000), e % 10000
-    patient = cohort * 4 + F.col("user_id") % 4
-    tier = (
-        F.when(e % 3 == 0, F.lit("MEDICAL")).when(e % 3 == 1, F.lit("PREMIUM")).otherwise("BASIC")
-    )
-    # The vital's name goes between tier and owner; one device in 97 has no owner in its id.
-    owner = F.when(e % 97 == 0, F.lit("_X")).otherwise(
-        F.concat(F.lit("_P"), F.lpad(patient.cast("string"), 8, "0"))
-    )
-    seconds = step * 5 + (cohort % 720) * 3600
-    measured = F.timestamp_add(
-        "MILLISECOND",
-        (e * 37 % 1000).cast("int"),
-        F.timestamp_add("SECOND", seconds.cast("int"), F.lit(BASE).cast("timestamp_ntz")),
-    )
     # Work out what the six readings share before fanning out.
-    shared = events.select(
+    shared = events.selectExpr(
         "event_id",
-        measured.alias("measurement_timestamp"),
-        F.timestamp_add("HOUR", (e % 61).cast("int"), measured).alias("ingestion_timestamp"),
-        tier.alias("tier"),
-        owner.alias("owner"),
-        F.when(e % 50 != 0, ((e * 17) % 101).cast("double")).alias("battery"),
-        (((e * 3) % 11) / 10).alias("signal_strength"),
+        "timestampadd(MILLISECOND, int(event_id * 37 % 1000), timestampadd(SECOND, "
+        "int(event_id % 10000 * 5 + event_id div 10000 % 720 * 3600), "
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00')) AS measurement_timestamp",
+        "CASE event_id % 3 WHEN 0 THEN 'MEDICAL' WHEN 1 THEN 'PREMIUM' ELSE 'BASIC' END AS tier",
+        # The vital's name goes between tier and owner; one in 97 has no owner in its id.
+        "if(event_id % 97 = 0, '_X', concat('_P', lpad("
+        "string(event_id div 10000 * 4 + user_id % 4), 8, '0'))) AS owner",
+        "if(event_id % 50 = 0, NULL, double(event_id * 17 % 101)) AS battery",
+        "event_id * 3 % 11 / 10 AS signal_strength",
     )
-    kinds = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(code).alias("code"),
-                F.lit(f"_{code.lower()}").alias("name"),
-                *(F.lit(n).alias(k) for k, n in zip(_SHAPE_FIELDS, _SHAPES[i])),
-            )
-            for i, code in enumerate(CODES)
-        )
+    kinds = ", ".join(
+        f"struct('{code}' AS code, '_{code.lower()}' AS name, {i} AS i, {low} AS lowest, "
+        f"{step} AS step, {span} AS span, {every} AS every, {extra} AS extra)"
+        for i, (code, (low, step, span, every, extra)) in enumerate(zip(CODES, _SHAPES))
     )
-    hundredths = (
-        F.col("lowest")
-        + (e * F.col("step")) % F.col("span")
-        + F.when(e % F.col("every") == 0, F.col("extra")).otherwise(0)
+    fanned = shared.selectExpr("*", f"inline(array({kinds}))").selectExpr(
+        "*", "lowest + event_id * step % span + if(event_id % every = 0, extra, 0) AS hundredths"
     )
-    fanned = shared.select("*", F.inline(kinds)).withColumn("hundredths", hundredths)
-    value = F.col("hundredths")
-    return fanned.select(
+    return fanned.selectExpr(
         "measurement_timestamp",
-        F.when((e + F.col("i")) % 7 == 0, F.lit("BODY_WEIGHT"))
-        .otherwise(F.col("code"))
-        .alias("measurement_type"),
-        F.concat(
-            F.floor(value / 100).cast("string"),
-            F.lit("."),
-            F.lpad((value % 100).cast("string"), 2, "0"),
-        ).alias("raw_value"),
-        F.concat("tier", "name", "owner").alias("device_id"),
+        "if((event_id + i) % 7 = 0, 'BODY_WEIGHT', code) AS measurement_type",
+        "concat(string(hundredths div 100), '.', lpad(string(hundredths % 100), 2, '0'))"
+        " AS raw_value",
+        "concat(tier, name, owner) AS device_id",
         "battery",
         "signal_strength",
-        "ingestion_timestamp",
+        "timestampadd(HOUR, int(event_id % 61), measurement_timestamp) AS ingestion_timestamp",
     )
 
 

@@ -25,6 +25,8 @@ def build_session(app: str = "wardline", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.ansi.enabled": "true",
+        # Recording the Python line of every column operation takes longer than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **_REQUIRED,
         **conf,
     }

@@ -24,7 +24,7 @@ def incremental_copy(source: DataFrame, id_column: str, target: str) -> int | No
     version, state = versions.read()
     mark = state.get("high_water")
     fresh = source if mark is None else source.filter(F.col(id_column) > F.lit(mark))
-    folder = f"{target.rstrip('/')}/run={version + 1}"
+    folder = f"{target.rstrip('/')}/_run={version + 1}"
     fresh.write.mode("overwrite").parquet(folder)
     # Taken from what was written: the source may have grown since.
     highest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(id_column)).first()[0]
@@ -56,7 +56,7 @@ def read_copy(spark: SparkSession, target: str) -> DataFrame:
     _, state = Versions(spark, target).read()
     schema = T.StructType.fromJson(state["schema"])
     return spark.read.schema(schema).parquet(
-        *(f"{target.rstrip('/')}/run={n}" for n in state["runs"])
+        *(f"{target.rstrip('/')}/_run={n}" for n in state["runs"])
     )
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from wardline.sources.versions import Versions
 
+# Folder column; the leading underscore keeps it apart from the columns of the rows.
+_RUN = "_run"
+
 
 class TieredTable:
     """Append, move what has cooled down, drop what has expired, read all of it."""
@@ -25,16 +28,16 @@ class TieredTable:
         self._versions = Versions(spark, hot)
 
     def _write(self, rows: DataFrame, place: str, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.places[place]}/run={number}")
+        rows.write.mode("overwrite").parquet(f"{self.places[place]}/_run={number}")
 
     def _rows(self, state: dict[str, Any], place: str, runs: list[int] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(state["schema"])
-        layout = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
+        layout = T.StructType([*schema.fields, T.StructField(_RUN, T.LongType())])
         wanted = state[place] if runs is None else runs
         if not wanted:
             return self.spark.createDataFrame([], layout)
         reader = self.spark.read.schema(layout).option("basePath", self.places[place])
-        return reader.parquet(*(f"{self.places[place]}/run={n}" for n in wanted))
+        return reader.parquet(*(f"{self.places[place]}/_run={n}" for n in wanted))
 
     def append(self, rows: DataFrame) -> int:
         """Add rows to the hot place; gives the new version."""
@@ -52,12 +55,12 @@ class TieredTable:
         old = F.coalesce(F.col(self.ts) < before, F.lit(False))
         found = (
             self._rows(state, place)
-            .groupBy("run")
+            .groupBy(_RUN)
             .agg(F.max(old).alias("any_old"), F.min(old).alias("all_old"))
             .filter("any_old")
             .collect()  # one row per run that holds old rows
         )
-        return [r.run for r in found], [r.run for r in found if not r.all_old]
+        return [r[_RUN] for r in found], [r[_RUN] for r in found if not r.all_old]
 
     def tier(self, older_than: dt.datetime) -> int:
         """Move rows from before a time to the cold place; gives the runs taken apart."""
@@ -68,10 +71,10 @@ class TieredTable:
             return 0
         old = F.coalesce(F.col(self.ts) < before, F.lit(False))
         number = version + 1
-        self._write(self._rows(state, "hot", taken).filter(old).drop("run"), "cold", number)
+        self._write(self._rows(state, "hot", taken).filter(old).drop(_RUN), "cold", number)
         hot = [n for n in state["hot"] if n not in taken]
         if mixed:
-            self._write(self._rows(state, "hot", mixed).filter(~old).drop("run"), "hot", number)
+            self._write(self._rows(state, "hot", mixed).filter(~old).drop(_RUN), "hot", number)
             hot.append(number)
         self._versions.commit(version, {**state, "hot": hot, "cold": [*state["cold"], number]})
         return len(taken)
@@ -87,7 +90,7 @@ class TieredTable:
             touched += len(taken)
             new[place] = [n for n in state[place] if n not in taken]
             if mixed:
-                rest = self._rows(state, place, mixed).filter(~old).drop("run")
+                rest = self._rows(state, place, mixed).filter(~old).drop(_RUN)
                 self._write(rest, place, version + 1)
                 new[place].append(version + 1)
         if touched:
@@ -96,16 +99,16 @@ class TieredTable:
 
     def hot(self) -> DataFrame:
         """Rows in the hot place."""
-        return self._rows(self._versions.read()[1], "hot").drop("run")
+        return self._rows(self._versions.read()[1], "hot").drop(_RUN)
 
     def cold(self) -> DataFrame:
         """Rows in the cold place."""
-        return self._rows(self._versions.read()[1], "cold").drop("run")
+        return self._rows(self._versions.read()[1], "cold").drop(_RUN)
 
     def read(self) -> DataFrame:
         """All rows, from one and the same state of both places."""
         _, state = self._versions.read()
-        return self._rows(state, "hot").unionByName(self._rows(state, "cold")).drop("run")
+        return self._rows(state, "hot").unionByName(self._rows(state, "cold")).drop(_RUN)
 
     def vacuum(self) -> list[str]:
         """Delete folders the newest state does not name; readers must be on that state."""
@@ -114,7 +117,7 @@ class TieredTable:
             folder
             for place, path in self.places.items()
             for folder in self._versions.folders(path)
-            if folder.rsplit("/", 1)[1].startswith("run=")
+            if folder.rsplit("/", 1)[1].startswith(f"{_RUN}=")
             and int(folder.rsplit("=", 1)[1]) not in state.get(place, [])
         ]
         for folder in gone:

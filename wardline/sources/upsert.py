@@ -2,9 +2,9 @@
 
 Layout below ``path``::
 
-    changes/batch=N/          the rows written by batch N, in no partitions
-    base/v=K/day=D/bucket=B/  merged rows, one version folder per compaction
-    _versions/                which of these count (see ``versions``)
+    changes/_batch=N/                      the rows written by batch N, in no partitions
+    base/_version=K/_day=D/_bucket=B/      merged rows, one version folder per compaction
+    _versions/                             which of these count (see ``versions``)
 
 Writers only add folders, so readers of an older state are never disturbed until ``vacuum``.
 """
@@ -23,7 +23,8 @@ from wardline.sources.versions import Versions
 from wardline.vitals import BUCKETS
 
 _BATCH = "_batch"
-_LAYOUT = ("v", "day", "bucket")
+# Folder columns; the leading underscore keeps them apart from the columns of the rows.
+_LAYOUT = ("_version", "_day", "_bucket")
 
 
 def bucket_of(column: Column, buckets: int = BUCKETS) -> Column:
@@ -72,7 +73,7 @@ class UpsertTable:
         rows = self._checked(rows)
         if order:
             rows = latest_per_key(rows, self.keys, order)
-        target = f"{self.path}/changes/batch={batch_id:012d}"
+        target = f"{self.path}/changes/_batch={batch_id:012d}"
         rows.write.mode("overwrite").parquet(target)
         state = {
             "base": state.get("base", {}),
@@ -116,19 +117,19 @@ class UpsertTable:
             return self.spark.createDataFrame([], stored).withColumn(
                 _BATCH, F.lit(0).cast("bigint")
             )
-        layout = T.StructType([*stored.fields, T.StructField("batch", T.LongType())])
-        paths = [f"{self.path}/changes/batch={b:012d}" for b in state["batches"]]
+        layout = T.StructType([*stored.fields, T.StructField(_BATCH, T.LongType())])
+        paths = [f"{self.path}/changes/_batch={b:012d}" for b in state["batches"]]
         reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/changes")
-        return reader.parquet(*paths).withColumnRenamed("batch", _BATCH)
+        return reader.parquet(*paths)
 
     def _base(self, state: dict[str, Any], parts: Sequence[str] | None = None) -> DataFrame:
         schema = self._schema(state)
         layout = T.StructType(
             [
                 *schema.fields,
-                T.StructField("v", T.LongType()),
-                T.StructField("day", T.DateType()),
-                T.StructField("bucket", T.IntegerType()),
+                T.StructField("_version", T.LongType()),
+                T.StructField("_day", T.DateType()),
+                T.StructField("_bucket", T.IntegerType()),
             ]
         )
         wanted = state["base"] if parts is None else {
@@ -137,7 +138,7 @@ class UpsertTable:
         if not wanted:
             return self.spark.createDataFrame([], layout)
         reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/base")
-        return reader.parquet(*(f"{self.path}/base/v={v}/{p}" for p, v in wanted.items()))
+        return reader.parquet(*(f"{self.path}/base/_version={v}/{p}" for p, v in wanted.items()))
 
     def changelog(self) -> DataFrame:
         """Rows written since the last compaction, each with ``_batch`` and ``_deleted``."""
@@ -159,7 +160,7 @@ class UpsertTable:
         base, recent = self._base(state), self._changes(state)
         if first_key is not None:
             here = F.col(self.keys[0]) == first_key
-            base = base.filter(here & (F.col("bucket") == bucket_of(F.lit(first_key), self.buckets)))
+            base = base.filter(here & (F.col("_bucket") == bucket_of(F.lit(first_key), self.buckets)))
             recent = recent.filter(here)
         return self._merged(base, recent, self._schema(state).names)
 
@@ -175,8 +176,8 @@ class UpsertTable:
         day = (
             F.to_date(F.col(self.day_column)) if self.day_column else F.lit(None).cast("date")
         )
-        return rows.withColumn("day", day).withColumn(
-            "bucket", bucket_of(F.col(self.keys[0]), self.buckets)
+        return rows.withColumn("_day", day).withColumn(
+            "_bucket", bucket_of(F.col(self.keys[0]), self.buckets)
         )
 
     def compact(self) -> int:
@@ -190,15 +191,15 @@ class UpsertTable:
         recent = self._changes(state)
         # Names of folders, not data: at most days times buckets of them.
         touched = [
-            _folder(row.day, row.bucket)
-            for row in self._placed(recent).select("day", "bucket").distinct().collect()
+            _folder(row._day, row._bucket)
+            for row in self._placed(recent).select("_day", "_bucket").distinct().collect()
         ]
         if not touched:
             return 0
         merged = self._placed(self._merged(self._base(state, touched), recent, names))
-        target = f"{self.path}/base/v={version + 1}"
-        merged.hint("rebalance", "day", "bucket").write.mode("overwrite").partitionBy(
-            "day", "bucket"
+        target = f"{self.path}/base/_version={version + 1}"
+        merged.hint("rebalance", "_day", "_bucket").write.mode("overwrite").partitionBy(
+            "_day", "_bucket"
         ).parquet(target)
         present = {
             f"{day.rsplit('/', 1)[1]}/{bucket.rsplit('/', 1)[1]}"
@@ -213,8 +214,8 @@ class UpsertTable:
     def vacuum(self) -> list[str]:
         """Delete folders the newest state does not name; readers must be on that state."""
         _, state = self._versions.read()
-        alive = {f"batch={b:012d}" for b in state.get("batches", [])}
-        alive |= {f"v={v}" for v in state.get("base", {}).values()}
+        alive = {f"_batch={b:012d}" for b in state.get("batches", [])}
+        alive |= {f"_version={v}" for v in state.get("base", {}).values()}
         gone = [
             folder
             for part in ("changes", "base")
@@ -228,4 +229,4 @@ class UpsertTable:
 
 def _folder(day: Any, bucket: int) -> str:
     name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-    return f"day={name}/bucket={bucket}"
+    return f"_day={name}/_bucket={bucket}"
