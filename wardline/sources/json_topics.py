@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from wardline.functions import ntz
 from wardline.operators.latest import DELETED, latest_per_key
@@ -135,6 +136,22 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, start: str = "late
     )
 
 
+def write_kafka(frames: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Send a stream of frames to Kafka; frames without a key go to any partition.
+
+    Kafka may see a frame twice after a failure; keyed topics are read by last value, so only
+    append topics notice. Needs Spark's Kafka package on the class path.
+    """
+    return (
+        frames.select("key", "value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def read_json_folder(
     spark: SparkSession,
     path: str,

@@ -9,13 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.sources.versions import Versions
 
-# Folder column; the leading underscore keeps it apart from the columns of the rows.
 _RUN = "_run"
 
 
@@ -27,88 +26,89 @@ class TieredTable:
         self.places = {"hot": hot.rstrip("/"), "cold": cold.rstrip("/")}
         self._versions = Versions(spark, hot)
 
-    def _write(self, rows: DataFrame, place: str, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.places[place]}/_run={number}")
+    def _write(self, rows: DataFrame, place: str, number: int) -> dict[str, Any]:
+        """Write a run and describe it: its number and the range of its times."""
+        folder = f"{self.places[place]}/{_RUN}={number}"
+        rows.write.mode("overwrite").parquet(folder)
+        times = self.spark.read.schema(rows.schema).parquet(folder).select(
+            F.col(self.ts).cast("timestamp_ntz").alias("t")
+        )
+        found = times.agg(
+            F.min("t").alias("first"), F.max("t").alias("last"), F.count_if(F.col("t").isNull()).alias("n")
+        ).first()
+        return {
+            "run": number,
+            "first": found["first"] and found["first"].isoformat(),
+            "last": found["last"] and found["last"].isoformat(),
+            "untimed": found["n"] > 0,
+        }
 
-    def _rows(self, state: dict[str, Any], place: str, runs: list[int] | None = None) -> DataFrame:
+    def _rows(
+        self, state: dict[str, Any], place: str, runs: list[dict[str, Any]] | None = None
+    ) -> DataFrame:
         schema = T.StructType.fromJson(state["schema"])
-        layout = T.StructType([*schema.fields, T.StructField(_RUN, T.LongType())])
         wanted = state[place] if runs is None else runs
         if not wanted:
-            return self.spark.createDataFrame([], layout)
-        reader = self.spark.read.schema(layout).option("basePath", self.places[place])
-        return reader.parquet(*(f"{self.places[place]}/_run={n}" for n in wanted))
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        return reader.parquet(*(f"{self.places[place]}/{_RUN}={r['run']}" for r in wanted))
 
     def append(self, rows: DataFrame) -> int:
         """Add rows to the hot place; gives the new version."""
         version, state = self._versions.read()
-        self._write(rows, "hot", version + 1)
+        run = self._write(rows, "hot", version + 1)
         new = {
-            "hot": [*state.get("hot", []), version + 1],
+            "hot": [*state.get("hot", []), run],
             "cold": state.get("cold", []),
             "schema": rows.schema.jsonValue(),
         }
         return self._versions.commit(version, new)
 
-    def _ages(self, state: dict[str, Any], place: str, before: Any) -> tuple[list[int], list[int]]:
-        """Runs with some rows before a time, and those of them with other rows as well."""
-        old = F.coalesce(F.col(self.ts) < before, F.lit(False))
-        found = (
-            self._rows(state, place)
-            .groupBy(_RUN)
-            .agg(F.max(old).alias("any_old"), F.min(old).alias("all_old"))
-            .filter("any_old")
-            .collect()  # one row per run that holds old rows
-        )
-        return [r[_RUN] for r in found], [r[_RUN] for r in found if not r.all_old]
+    def _before(self, limit: dt.datetime) -> Column:
+        """True for rows from before a time; a row without a time is never old."""
+        return F.coalesce(F.col(self.ts) < F.lit(limit).cast("timestamp_ntz"), F.lit(False))
 
     def tier(self, older_than: dt.datetime) -> int:
         """Move rows from before a time to the cold place; gives the runs taken apart."""
         version, state = self._versions.read()
-        before = F.lit(older_than).cast("timestamp_ntz")
-        taken, mixed = self._ages(state, "hot", before)
+        taken, mixed, rest = _sorted_by_age(state["hot"], older_than)
         if not taken:
             return 0
-        old = F.coalesce(F.col(self.ts) < before, F.lit(False))
-        number = version + 1
-        self._write(self._rows(state, "hot", taken).filter(old).drop(_RUN), "cold", number)
-        hot = [n for n in state["hot"] if n not in taken]
+        old = self._before(older_than)
+        cold = self._write(self._rows(state, "hot", taken).filter(old), "cold", version + 1)
         if mixed:
-            self._write(self._rows(state, "hot", mixed).filter(~old).drop(_RUN), "hot", number)
-            hot.append(number)
-        self._versions.commit(version, {**state, "hot": hot, "cold": [*state["cold"], number]})
+            kept = self._rows(state, "hot", mixed).filter(~old)
+            rest = [*rest, self._write(kept, "hot", version + 1)]
+        self._versions.commit(version, {**state, "hot": rest, "cold": [*state["cold"], cold]})
         return len(taken)
 
     def purge(self, before: dt.datetime) -> int:
         """Drop rows from before a time in both places; whole runs go without being read."""
         version, state = self._versions.read()
-        limit = F.lit(before).cast("timestamp_ntz")
-        old = F.coalesce(F.col(self.ts) < limit, F.lit(False))
         new, touched = dict(state), 0
         for place in self.places:
-            taken, mixed = self._ages(state, place, limit)
+            taken, mixed, rest = _sorted_by_age(state[place], before)
             touched += len(taken)
-            new[place] = [n for n in state[place] if n not in taken]
             if mixed:
-                rest = self._rows(state, place, mixed).filter(~old).drop(_RUN)
-                self._write(rest, place, version + 1)
-                new[place].append(version + 1)
+                kept = self._rows(state, place, mixed).filter(~self._before(before))
+                rest = [*rest, self._write(kept, place, version + 1)]
+            new[place] = rest
         if touched:
             self._versions.commit(version, new)
         return touched
 
     def hot(self) -> DataFrame:
         """Rows in the hot place."""
-        return self._rows(self._versions.read()[1], "hot").drop(_RUN)
+        return self._rows(self._versions.read()[1], "hot")
 
     def cold(self) -> DataFrame:
         """Rows in the cold place."""
-        return self._rows(self._versions.read()[1], "cold").drop(_RUN)
+        return self._rows(self._versions.read()[1], "cold")
 
     def read(self) -> DataFrame:
         """All rows, from one and the same state of both places."""
         _, state = self._versions.read()
-        return self._rows(state, "hot").unionByName(self._rows(state, "cold")).drop(_RUN)
+        return self._rows(state, "hot").unionByName(self._rows(state, "cold"))
 
     def vacuum(self) -> list[str]:
         """Delete folders the newest state does not name; readers must be on that state."""
@@ -118,8 +118,25 @@ class TieredTable:
             for place, path in self.places.items()
             for folder in self._versions.folders(path)
             if folder.rsplit("/", 1)[1].startswith(f"{_RUN}=")
-            and int(folder.rsplit("=", 1)[1]) not in state.get(place, [])
+            and int(folder.rsplit("=", 1)[1]) not in [r["run"] for r in state.get(place, [])]
         ]
         for folder in gone:
             self._versions.delete(folder)
+        self._versions.prune()
         return gone
+
+
+def _sorted_by_age(
+    runs: list[dict[str, Any]], before: dt.datetime
+) -> tuple[list[dict[str, Any]], list[dict[str, Any]], list[dict[str, Any]]]:
+    """Runs with rows from before a time, those of them with others as well, and the rest.
+
+    The range of times written beside each run decides, so no data is read.
+    """
+
+    def is_old(text: str | None) -> bool:
+        return text is not None and dt.datetime.fromisoformat(text) < before
+
+    taken = [r for r in runs if is_old(r["first"])]
+    mixed = [r for r in taken if r["untimed"] or not is_old(r["last"])]
+    return taken, mixed, [r for r in runs if r not in taken]

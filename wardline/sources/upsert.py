@@ -123,6 +123,7 @@ class UpsertTable:
         return reader.parquet(*paths)
 
     def _base(self, state: dict[str, Any], parts: Sequence[str] | None = None) -> DataFrame:
+        """Merged rows, of the named folders only if any are named."""
         schema = self._schema(state)
         layout = T.StructType(
             [
@@ -157,13 +158,21 @@ class UpsertTable:
         so it needs no aggregation, and Spark broadcasts the changed keys if they are small.
         """
         _, state = self._versions.read()
-        base, recent = self._base(state), self._changes(state)
-        if first_key is not None:
+        recent = self._changes(state)
+        if first_key is None:
+            base = self._base(state)
+        else:
             here = F.col(self.keys[0]) == first_key
-            base = base.filter(here & (F.col("_bucket") == bucket_of(F.lit(first_key), self.buckets)))
+            base = self._base(state, self._folders_of(state, first_key)).filter(here)
             recent = recent.filter(here)
         return self._merged(base, recent, self._schema(state).names)
 
+    def _folders_of(self, state: dict[str, Any], first_key: Any) -> list[str]:
+        """The folders of the one bucket that can hold a key; the others are not even listed."""
+        one = self.spark.range(1).select(bucket_of(F.lit(first_key), self.buckets).alias("b"))
+        suffix = f"/_bucket={one.first()['b']}"
+        return [p for p in state.get("base", {}) if p.endswith(suffix)]
+
     def _merged(self, base: DataFrame, recent: DataFrame, names: Sequence[str]) -> DataFrame:
         newest = latest_per_key(recent, self.keys, [_BATCH])
         kept = base.drop(*_LAYOUT).join(newest.select(*self.keys), self.keys, "left_anti")
@@ -180,6 +189,11 @@ class UpsertTable:
             "_bucket", bucket_of(F.col(self.keys[0]), self.buckets)
         )
 
+    def compact_if(self, batches: int) -> int:
+        """Compact once the change log has grown to that many batches."""
+        _, state = self._versions.read()
+        return self.compact() if len(state.get("batches", [])) >= batches else 0
+
     def compact(self) -> int:
         """Fold the change log into the base; rewrites only days and buckets that changed.
 
@@ -224,6 +238,7 @@ class UpsertTable:
         ]
         for folder in gone:
             self._versions.delete(folder)
+        self._versions.prune()
         return gone
 
 

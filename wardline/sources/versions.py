@@ -67,8 +67,13 @@ class Versions:
         files.rename(draft, self._path(f"{self._dir}/{after + 1:012d}.json"), options)
         return after + 1
 
+    def prune(self, keep: int = 10) -> None:
+        """Delete all but the newest state files."""
+        for number in self.numbers()[:-keep]:
+            self.delete(f"{self._dir}/{number:012d}.json")
+
     def delete(self, folder: str) -> None:
-        """Delete a data folder no version names any more."""
+        """Delete a folder or file."""
         self._fs().delete(self._path(folder), True)
 
     def folders(self, parent: str) -> list[str]:

@@ -23,6 +23,8 @@ from wardline.sources.upsert import UpsertTable
 EVERY_MINUTE: dict[str, Any] = {"processingTime": "60 seconds"}
 UNTIL_DONE: dict[str, Any] = {"availableNow": True}
 LATENESS = "5 minutes"
+# Batches of the change log before it is folded into the table: an hour of them.
+COMPACT_EVERY = 60
 
 
 def _lateness(late: str, lateness: str) -> str | None:
@@ -45,6 +47,7 @@ def start_fused(
     trigger: dict[str, Any] | None = None,
     on_bad: str = "fail",
     at: Clocks = Clocks(),
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """All stages in one query with one shuffle, into the final table.
 
@@ -54,7 +57,9 @@ def start_fused(
     final = early_warning(raw, at, on_bad, _lateness(late, lateness))
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        table.upsert(load_typed(rows, at.storage), batch_id)
+        # A batch comes in as many parts as there is state; rebalanced, it is few files.
+        table.upsert(load_typed(rows, at.storage).hint("rebalance"), batch_id)
+        table.compact_if(compact_every)
 
     return (
         final.writeStream.outputMode("update")
@@ -83,6 +88,7 @@ class Staged:
     trigger: dict[str, Any] = field(default_factory=lambda: dict(EVERY_MINUTE))
     at: Clocks = Clocks()
     file_format: str = "parquet"
+    compact_every: int = COMPACT_EVERY
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -154,9 +160,11 @@ class Staged:
         )
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            self.scores.upsert(rows, batch_id)
+            self.scores.upsert(rows.hint("rebalance"), batch_id)
             final = totals(self.scores.batch(batch_id), self.at.aggregation)
             self.stored.upsert(load_typed(final, self.at.storage), batch_id)
+            for table in (self.scores, self.stored):
+                table.compact_if(self.compact_every)
 
         return (
             wide.writeStream.outputMode("update")
