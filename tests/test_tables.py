@@ -335,7 +335,7 @@ def test_folder_of_json(spark, tmp_path):
 
 
 def test_layout(spark):
-    assert topic_layout(spark.range(30), 3).rdd.getNumPartitions() == 3
+    assert topic_layout(spark.range(30)).rdd.getNumPartitions() == 3
 
 
 def test_shared_folder_comes_from_the_session(spark):

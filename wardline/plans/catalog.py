@@ -48,7 +48,7 @@ from wardline.sources.tiered import TieredTable
 from wardline.sources.upsert import UpsertTable, bucket_of
 from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
 from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
-from wardline.vitals import CODES
+from wardline.vitals import CODES, WATERMARK
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -391,11 +391,11 @@ def _(spark, sf):
 
 @query("stored_table_by_day")
 def _(spark, sf):
-    """The stored table after upsert and compaction by day and bucket, one patient read."""
+    """The stored table after upsert and compaction by day and bucket."""
     table = stored_table_at(spark, shared_dir(spark, "stored"), null_key="drop")
     table.upsert(_stored(spark, sf), 0)
     table.compact()
-    return table.latest(PATIENT)
+    return table.latest()
 
 
 def _stream(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -466,6 +466,7 @@ def _(spark, sf):
         table,
         f"{path}/checkpoint",
         late="drop",
+        lateness=WATERMARK,
         trigger=UNTIL_DONE,
         at=fixed_clocks(),
     ).awaitTermination()

@@ -344,9 +344,7 @@ def _tables() -> dict[str, str]:
         "totals_topic": _from("totals", "SELECT * FROM totals WHERE patient_id IS NOT NULL"),
         "upsert_latest": _CUSTOMERS,
         "unique_key_compact": _CUSTOMERS,
-        "stored_table_by_day": _from(
-            "stored", f"SELECT * FROM stored WHERE patient_id = '{PATIENT}'"
-        ),
+        "stored_table_by_day": _ALL_STORED,
         "upsert_auto_create": """SELECT o_custkey AS customer, max(o_orderkey) AS order_key,
   arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""",
         "stream_tumble_final": _ALL_STORED,

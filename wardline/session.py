@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -27,6 +28,9 @@ def build_session(app: str = "wardline", master: str | None = None, **conf: str)
         "spark.sql.ansi.enabled": "true",
         # Recording the Python line of every column operation takes longer than planning.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # State of streams on local disk with logged changes, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **_REQUIRED,
         **conf,
     }

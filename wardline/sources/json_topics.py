@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardline.functions import ntz
 from wardline.operators.latest import DELETED, latest_per_key
 from wardline.schemas import RAW_PAYLOAD, event_time
+from wardline.vitals import TOPIC_PARTITIONS
 
 # Time formats on the wire: append topics use ISO-8601, keyed topics the SQL form.
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
@@ -193,6 +194,6 @@ def read_json_folder(
     )
 
 
-def topic_layout(df: DataFrame, partitions: int) -> DataFrame:
+def topic_layout(df: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
     """Deal rows out to a fixed number of partitions, in no order; for small topics only."""
     return df.repartition(partitions)

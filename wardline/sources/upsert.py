@@ -24,7 +24,7 @@ from wardline.vitals import BUCKETS
 
 _BATCH = "_batch"
 # Folder columns; the leading underscore keeps them apart from the columns of the rows.
-_LAYOUT = ("_version", "_day", "_bucket")
+_VERSION, _DAY, _BUCKET = "_version", "_day", "_bucket"
 
 
 def bucket_of(column: Column, buckets: int = BUCKETS) -> Column:
@@ -122,22 +122,23 @@ class UpsertTable:
         reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/changes")
         return reader.parquet(*paths)
 
-    def _base(self, state: dict[str, Any], parts: Sequence[str] | None = None) -> DataFrame:
-        """Merged rows, of the named folders only if any are named."""
-        schema = self._schema(state)
+    def _base(
+        self, state: dict[str, Any], parts: Sequence[str] | None = None
+    ) -> DataFrame | None:
+        """Merged rows, of the named folders only if any are named; None if there are none."""
         layout = T.StructType(
             [
-                *schema.fields,
-                T.StructField("_version", T.LongType()),
-                T.StructField("_day", T.DateType()),
-                T.StructField("_bucket", T.IntegerType()),
+                *self._schema(state).fields,
+                T.StructField(_VERSION, T.LongType()),
+                T.StructField(_DAY, T.DateType()),
+                T.StructField(_BUCKET, T.IntegerType()),
             ]
         )
         wanted = state["base"] if parts is None else {
             p: state["base"][p] for p in parts if p in state["base"]
         }
         if not wanted:
-            return self.spark.createDataFrame([], layout)
+            return None
         reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/base")
         return reader.parquet(*(f"{self.path}/base/_version={v}/{p}" for p, v in wanted.items()))
 
@@ -163,9 +164,10 @@ class UpsertTable:
             base = self._base(state)
         else:
             here = F.col(self.keys[0]) == first_key
-            base = self._base(state, self._folders_of(state, first_key)).filter(here)
+            base = self._base(state, self._folders_of(state, first_key))
+            base = None if base is None else base.filter(here)
             recent = recent.filter(here)
-        return self._merged(base, recent, self._schema(state).names)
+        return self._merged(state, base, recent)
 
     def _folders_of(self, state: dict[str, Any], first_key: Any) -> list[str]:
         """The folders of the one bucket that can hold a key; the others are not even listed."""
@@ -173,11 +175,19 @@ class UpsertTable:
         suffix = f"/_bucket={one.first()['b']}"
         return [p for p in state.get("base", {}) if p.endswith(suffix)]
 
-    def _merged(self, base: DataFrame, recent: DataFrame, names: Sequence[str]) -> DataFrame:
+    def _merged(
+        self, state: dict[str, Any], base: DataFrame | None, recent: DataFrame
+    ) -> DataFrame:
+        names = self._schema(state).names
+        if base is not None and not state["batches"]:
+            return base.select(*names)
         newest = latest_per_key(recent, self.keys, [_BATCH])
-        kept = base.drop(*_LAYOUT).join(newest.select(*self.keys), self.keys, "left_anti")
-        alive = newest.filter(~F.col(DELETED)).drop(DELETED, _BATCH)
-        return kept.select(*names).unionByName(alive.select(*names))
+        alive = newest.filter(~F.col(DELETED)).select(*names)
+        if base is None:
+            return alive
+        changed = recent.select(*self.keys).distinct()
+        kept = base.select(*names).join(changed, self.keys, "left_anti").select(*names)
+        return kept.unionByName(alive)
 
     # -- upkeep ----------------------------------------------------------------------------
 
@@ -185,8 +195,8 @@ class UpsertTable:
         day = (
             F.to_date(F.col(self.day_column)) if self.day_column else F.lit(None).cast("date")
         )
-        return rows.withColumn("_day", day).withColumn(
-            "_bucket", bucket_of(F.col(self.keys[0]), self.buckets)
+        return rows.withColumn(_DAY, day).withColumn(
+            _BUCKET, bucket_of(F.col(self.keys[0]), self.buckets)
         )
 
     def compact_if(self, batches: int) -> int:
@@ -201,19 +211,18 @@ class UpsertTable:
         a bucket with a great share of the table is not one task. Gives the folders rewritten.
         """
         version, state = self._versions.read()
-        names = self._schema(state).names
         recent = self._changes(state)
         # Names of folders, not data: at most days times buckets of them.
         touched = [
             _folder(row._day, row._bucket)
-            for row in self._placed(recent).select("_day", "_bucket").distinct().collect()
+            for row in self._placed(recent).select(_DAY, _BUCKET).distinct().collect()
         ]
         if not touched:
             return 0
-        merged = self._placed(self._merged(self._base(state, touched), recent, names))
+        merged = self._placed(self._merged(state, self._base(state, touched), recent))
         target = f"{self.path}/base/_version={version + 1}"
-        merged.hint("rebalance", "_day", "_bucket").write.mode("overwrite").partitionBy(
-            "_day", "_bucket"
+        merged.hint("rebalance", _DAY, _BUCKET).write.mode("overwrite").partitionBy(
+            _DAY, _BUCKET
         ).parquet(target)
         present = {
             f"{day.rsplit('/', 1)[1]}/{bucket.rsplit('/', 1)[1]}"

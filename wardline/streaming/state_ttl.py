@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from wardline.functions import ntz
 from wardline.operators.enrich import stage_clock
 from wardline.schemas import SCORES
+from wardline.session import ROCKSDB
 from wardline.vitals import CODES, PREFIXES, STATE_TTL_MS, WINDOW
 
 _STAGES = ("measurement", "ingestion", "enrichment", "routing", "scoring")
@@ -177,9 +178,7 @@ def ttl_settings(spark: SparkSession) -> Iterator[None]:
     processing-time mode they would keep a run that should end going for ever.
     """
     wanted = {
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
