@@ -210,3 +210,30 @@ def test_fused_stream_equals_batch_on_test_tables(spark, sf_dir):
     batch = stored_table(raw_readings(spark, sf_dir), AT()).filter("patient_id IS NOT NULL")
     assert bag(final) == bag(batch)
     assert as_dicts(final, "patient_id")[0]["patient_id"].startswith("P")
+
+
+def test_stages_run_side_by_side(spark, tmp_path):
+    readings = some_readings()
+    write_files(spark, str(tmp_path / "raw"), [readings[0::2]])
+    staged = Staged(
+        spark,
+        str(tmp_path / "out"),
+        late="keep",
+        at=AT(),
+        trigger={"processingTime": "1 second"},
+    )
+    queries = staged.start(read_json_folder(spark, str(tmp_path / "raw")))
+    try:
+        write_files(spark, str(tmp_path / "raw"), [readings[1::2]])
+        expected = batch_result(spark, readings)
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            assert all(q.isActive for q in queries), [q.exception() for q in queries]
+            if os.path.exists(tmp_path / "out" / "stored" / "_versions"):
+                if bag(staged.stored.latest()) == expected:
+                    break
+            time.sleep(1)
+        assert bag(staged.stored.latest()) == expected
+    finally:
+        for query in queries:
+            query.stop()

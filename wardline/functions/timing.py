@@ -24,4 +24,4 @@ def whole_hours(start: str, end: str) -> Column:
 def half_hour(ts: str) -> Column:
     """The start of the half hour that holds a time."""
     hour = f"cast(date_trunc('hour', {ts}) AS timestamp_ntz)"
-    return F.expr(f"timestampadd(MINUTE, 30 * int(floor(minute({ts}) / 30)), {hour})")
+    return F.expr(f"timestampadd(MINUTE, minute({ts}) div 30 * 30, {hour})")

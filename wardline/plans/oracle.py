@@ -97,9 +97,8 @@ _ENRICHED = """enriched AS (
   SELECT measurement_type, value, device_id, patient_id,
     CAST(CAST(tier * 0.7 + charge * 0.2 + reach * 0.1 AS DECIMAL(7, 2)) AS DOUBLE)
       AS quality_weight,
-    CAST(CASE WHEN age <= 1 THEN 1.0 WHEN age <= 6 THEN 0.9 WHEN age <= 12 THEN 0.7
-      WHEN age <= 24 THEN 0.5 WHEN age <= 48 THEN 0.3 ELSE 0.2 END AS DOUBLE)
-      AS freshness_weight,
+    CAST(coalesce((SELECT max(w) FROM (VALUES (1, 1.0), (6, 0.9), (12, 0.7), (24, 0.5),
+      (48, 0.3)) f(most, w) WHERE age <= most), 0.2) AS DOUBLE) AS freshness_weight,
     measurement_timestamp, ingestion_timestamp,
     ingestion_timestamp + to_milliseconds(1400 + 1000 * (second(measurement_timestamp) % 3))
       AS enrichment_timestamp
