@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.rows import NOON, as_dicts, at, bag, raw_frame, reading
+from tests.rows import NOON, at, bag, raw_frame, reading
 from wardline.operators.latest import DELETED, apply_cdc, latest_per_key
 from wardline.operators.lifecycle import tier_split, within_retention
 from wardline.schemas import RAW, RAW_PAYLOAD

@@ -14,7 +14,13 @@ from wardline.operators import lifecycle, metrics, serve
 from wardline.operators.enrich import enrich, split_bad
 from wardline.operators.latest import apply_cdc
 from wardline.operators.route import route_together, route_vital
-from wardline.operators.score import score_all, score_together, score_vital, union_scores, with_trust
+from wardline.operators.score import (
+    score_all,
+    score_together,
+    score_vital,
+    union_scores,
+    with_trust,
+)
 from wardline.operators.totals import load_typed, mean_trust, totals, with_risk
 from wardline.operators.window import tumble_pivot
 from wardline.plans import clocks

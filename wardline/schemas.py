@@ -93,7 +93,6 @@ def event_time(schema: T.StructType, *columns: str) -> T.StructType:
     """The same schema with the given columns typed for use in a watermark."""
     return T.StructType(
         [
-            T.StructField(f.name, T.TimestampType() if f.name in columns else f.dataType, f.nullable)
-            for f in schema
+            T.StructField(f.name, T.TimestampType()) if f.name in columns else f for f in schema
         ]
     )

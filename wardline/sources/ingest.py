@@ -134,7 +134,9 @@ def mock_records(
     return iterations.select(*columns)
 
 
-def mock_readings(spark: SparkSession, n: int, rules: Mapping[str, Rule], seed: int = 0) -> DataFrame:
+def mock_readings(
+    spark: SparkSession, n: int, rules: Mapping[str, Rule], seed: int = 0
+) -> DataFrame:
     """``n`` made-up records."""
     return mock_records(spark.range(n), "id", rules, seed)
 
