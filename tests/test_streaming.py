@@ -237,3 +237,15 @@ def test_stages_run_side_by_side(spark, tmp_path):
     finally:
         for query in queries:
             query.stop()
+
+
+def test_processor_needs_no_package_on_the_workers():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from wardline.streaming.state_ttl import _Accumulate
+
+    code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read()); assert 'wardline' not in sys.modules"
+    data = cloudpickle.dumps(_Accumulate(1))
+    assert subprocess.run([sys.executable, "-c", code], input=data, cwd="/").returncode == 0

@@ -7,11 +7,13 @@ comes out depends on when rows arrive. This is the variant for those who need ex
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,9 @@ from wardline.schemas import SCORES
 from wardline.session import ROCKSDB
 from wardline.vitals import CODES, PREFIXES, STATE_TTL_MS, WINDOW
 
+# Send the processor to the Python workers whole: they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STAGES = ("measurement", "ingestion", "enrichment", "routing", "scoring")
 _BILLION = 1_000_000_000
 _N = len(CODES)
