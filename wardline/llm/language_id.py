@@ -175,6 +175,18 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     return arrow_map(picked, run, schema).withColumnRenamed("key", key)
 
 
+def recognised(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language; ``und`` rows go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            _, some = gram_counts(as_text(batch.column(text)))
+            if model.languages and some.any():
+                yield batch.filter(pa.array(some))
+
+    return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from those whose crc32(doc_id) mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
