@@ -77,7 +77,7 @@ def as_text(column: pa.Array) -> list[str]:
 class WordHashes(dict):
     """XXH64 by word, computed once for each; forgets all when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 400_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
