@@ -8,6 +8,7 @@ Plain words go to the tokenizer's merge model, all other pieces to the whole tok
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -38,22 +39,43 @@ class Ids(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.model, self.lowers, self.dtype = self.tokenizer.model, lowers, np.dtype(dtype)
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.marks: dict[str, bytes] = {}
         self.shown = {b: s for b, s in enumerate(_shown_bytes())}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, part: str) -> bytes:
+        """One piece of the vocabulary's splitting, as the merge model has it."""
+        if part.isascii():
+            shown = part.replace(" ", "Ġ")
+        else:
+            shown = "".join(map(self.shown.__getitem__, part.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _marks(self, rest: str) -> bytes:
+        value = self.marks.get(rest)
+        if value is None:
+            if len(self.marks) >= _LIMIT // 10:
+                self.marks.clear()
+            value = self.marks[rest] = self._merged(rest)
+        return value
 
     def _encoded(self, piece: str) -> bytes:
         m = _PLAIN.fullmatch(piece)
         if not m:
             return self._whole(piece)
         blank, word, rest = m.groups()
-        ids = []
-        for part in (blank + word, rest) if word else (blank + rest,):
-            if part:
-                raw = (part.lower() if self.lowers else part).encode()
-                ids += [t.id for t in self.model.tokenize("".join(map(self.shown.__getitem__, raw)))]
-        return np.array(ids, self.dtype).tobytes()
+        if not word:
+            return self._marks(blank + rest)
+        if self.lowers:
+            low = word.lower()
+            if rest or low != word:  # the word alone may be known already
+                return self[low] + (self._marks(rest) if rest else b"")
+        elif rest and blank:
+            return self[word] + self._marks(rest)
+        return self._merged(blank + word) + (self._marks(rest) if rest else b"")
 
     def __missing__(self, piece: str) -> bytes | None:
         if len(self) >= _LIMIT:
