@@ -22,12 +22,16 @@ def write_files(spark, folder, batches):
     """One JSON file per batch of readings, with rising modification times."""
     os.makedirs(folder, exist_ok=True)
     start = len(os.listdir(folder))
+    # A file that a running query may list has to be whole and have its time: it is moved in.
+    drafts = f"{folder}-drafts"
+    os.makedirs(drafts, exist_ok=True)
     for n, readings in enumerate(batches, start):
         lines = raw_frame(spark, readings).toJSON().collect()
-        path = os.path.join(folder, f"{n:04d}.json")
+        path = os.path.join(drafts, f"{n:04d}.json")
         with open(path, "w") as out:
             out.write("\n".join(lines) + "\n")
         os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+        os.replace(path, os.path.join(folder, f"{n:04d}.json"))
 
 
 def run_fused(spark, root, late="keep", **options):

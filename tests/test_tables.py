@@ -45,10 +45,10 @@ def table(spark, tmp_path):
 
 
 def test_last_write_wins_and_replays_do_nothing(spark, table):
-    assert table.upsert(rows(spark, ("a", NOON, 1), ("b", NOON, 1)), 0)
-    assert table.upsert(rows(spark, ("a", NOON, 2)), 1)
-    assert not table.upsert(rows(spark, ("a", NOON, 99)), 1)
-    assert not table.upsert(rows(spark, ("a", NOON, 99)), 0)
+    assert table.upsert(rows(spark, ("a", NOON, 1), ("b", NOON, 1)), 0, writer="w")
+    assert table.upsert(rows(spark, ("a", NOON, 2)), 1, writer="w")
+    assert not table.upsert(rows(spark, ("a", NOON, 99)), 1, writer="w")
+    assert not table.upsert(rows(spark, ("a", NOON, 99)), 0, writer="w")
     assert content(table.latest()) == [("a", NOON, 2), ("b", NOON, 1)]
 
 
@@ -342,3 +342,41 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(f"{root}/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_another_writer_counts_for_itself(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    make = lambda *ids: spark.createDataFrame([(i, i) for i in ids], "k long, v long")
+    assert table.upsert(make(1, 2), 7, writer="old checkpoint")
+    assert table.upsert(make(3), 0, writer="new checkpoint")
+    table.upsert(make(4), 0)
+    with pytest.raises(ValueError, match="written before"):
+        table.upsert(make(5), 0)
+    assert sorted(r.k for r in table.latest().collect()) == [1, 2, 3, 4]
+
+
+def test_look_up_by_number_in_a_reopened_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = UpsertTable(spark, path, ["k"], buckets=8)
+    table.upsert(spark.range(40).selectExpr("id as k", "id * 2 as v"), 0)
+    table.compact()
+    again = UpsertTable(spark, path, ["k"], buckets=8)
+    assert [again.latest(i).first().v for i in range(40)] == [2 * i for i in range(40)]
+    with pytest.raises(ValueError, match="laid out"):
+        UpsertTable(spark, path, ["k"]).latest()
+
+
+def test_a_key_that_repeats_needs_an_order(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ["k"])
+    twice = spark.createDataFrame([(1, 1), (1, 2)], "k long, v long")
+    with pytest.raises(ValueError, match="repeats"):
+        table.upsert(twice, 0)
+    table.upsert(twice, 0, ["v"])
+    assert table.latest().collect() == [(1, 2)]
+
+
+def test_a_batch_without_a_column_keeps_it(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ["k"])
+    table.upsert(spark.createDataFrame([(1, "a")], "k long, v string"), 0)
+    table.upsert(spark.createDataFrame([(2, 5)], "k long, n long"), 1)
+    assert sorted(table.latest().collect()) == [(1, "a", None), (2, None, 5)]

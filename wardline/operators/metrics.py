@@ -10,6 +10,7 @@ count, and nothing is extrapolated to its edges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,8 +36,8 @@ def select_series(
     return samples
 
 
-def _windowed(samples: DataFrame, window: str) -> DataFrame:
-    bounds = F.window("ts", window)
+def _windowed(samples: DataFrame, window: str, step: str | None = None) -> DataFrame:
+    bounds = F.window("ts", window, step or window)
     return samples.withColumn("_w", bounds).withColumn("eval_time", F.col("_w.end").cast("timestamp_ntz"))
 
 
@@ -47,48 +48,52 @@ def window_seconds(window: str) -> int:
     return int(amount) * sizes[unit.rstrip("s")]
 
 
+def _one_per_time(samples: DataFrame, series: Sequence[str]) -> DataFrame:
+    """One value per series and time, the largest; unknown values and times are no samples."""
+    known = samples.filter(F.col("value").isNotNull() & F.col("ts").isNotNull())
+    return known.groupBy(*series, "ts").agg(F.max(F.col("value").cast("double")).alias("value"))
+
+
 def counter_rate(
-    samples: DataFrame, series: Sequence[str], window: str, pieces: int = 16
+    samples: DataFrame,
+    series: Sequence[str],
+    window: str,
+    step: str | None = None,
+    piece: str = "1 minute",
 ) -> DataFrame:
     """Increase per second of a counter in each window: ``<series>, eval_time, value``.
 
-    A value below its predecessor means the counter was reset, and counts in full. A window
-    with fewer than two samples of a series has no rate.
+    A value below its predecessor in the series means the counter was reset, and counts in full.
+    The step from one sample to the next belongs to the later one's window, so windows add up to
+    the counter's growth. ``step`` evaluates windows that often, overlapping if it is shorter than
+    they are. A window has a rate if a sample in it has a predecessor.
 
-    Each window is worked through in ``pieces`` of equal length and the pieces are joined up
-    by their first and last values, so one very busy series is spread over that many tasks.
+    A series is worked through in pieces of time, of length ``piece`` or what divides window and step,
+    which are joined up by their first and last values; one busy series is many tasks' work.
     """
-    length = window_seconds(window)
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
-        F.col("_w.start").cast("timestamp")
-    )
-    cut = _windowed(samples, window).select(
-        *series,
-        "eval_time",
-        F.floor(since * pieces / (length * 1_000_000)).alias("_piece"),
-        "ts",
-        F.col("value").cast("double").alias("value"),
-    )
-    inside = Window.partitionBy(*series, "eval_time", "_piece").orderBy("ts")
+    length, hop = window_seconds(window), window_seconds(step or window)
+    micros = math.gcd(length, hop, window_seconds(piece)) * 1_000_000
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cut = _one_per_time(samples, series).withColumn("_piece", F.floor(at / micros) * micros)
+    inside = Window.partitionBy(*series, "_piece").orderBy("ts")
     steps = cut.withColumn("_step", _increase(F.lag("value").over(inside), F.col("value")))
-    parts = steps.groupBy(*series, "eval_time", "_piece").agg(
+    parts = steps.groupBy(*series, "_piece").agg(
         F.sum("_step").alias("_inside"),
         F.min_by("value", "ts").alias("_first"),
         F.max_by("value", "ts").alias("_last"),
-        F.count("*").alias("_n"),
     )
-    along = Window.partitionBy(*series, "eval_time").orderBy("_piece")
-    joined = parts.withColumn("_between", _increase(F.lag("_last").over(along), F.col("_first")))
+    along = Window.partitionBy(*series).orderBy("_piece")
+    between = _increase(F.lag("_last").over(along), F.col("_first"))
+    grown = parts.withColumn("_between", between).filter("_inside is not null or _between is not null")
+    placed = grown.select(
+        *series,
+        F.timestamp_micros("_piece").cast("timestamp_ntz").alias("ts"),
+        (F.coalesce("_inside", F.lit(0.0)) + F.coalesce("_between", F.lit(0.0))).alias("_grown"),
+    )
     return (
-        joined.groupBy(*series, "eval_time")
-        .agg(
-            F.sum(
-                F.coalesce("_inside", F.lit(0.0)) + F.coalesce("_between", F.lit(0.0))
-            ).alias("_sum"),
-            F.sum("_n").alias("_n"),
-        )
-        .filter(F.col("_n") > 1)
-        .select(*series, "eval_time", (F.col("_sum") / length).alias("value"))
+        _windowed(placed, window, step)
+        .groupBy(*series, "eval_time")
+        .agg((F.sum("_grown") / length).alias("value"))
     )
 
 
@@ -104,8 +109,8 @@ def irate(samples: DataFrame, series: Sequence[str], window: str) -> DataFrame:
     """
     order = Window.partitionBy(*series, "eval_time").orderBy(F.col("ts").desc())
     last_two = (
-        _windowed(samples, window)
-        .select(*series, "eval_time", "ts", F.col("value").cast("double").alias("value"))
+        _windowed(_one_per_time(samples, series), window)
+        .select(*series, "eval_time", "ts", "value")
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= 2)
     )

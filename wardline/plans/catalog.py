@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -377,7 +376,7 @@ def _upserted(spark: SparkSession, sf: str, compact: bool) -> UpsertTable:
     half = log.agg((F.max("position") / 2).cast("bigint").alias("half")).first()["half"]
     parts = (log.filter(F.col("position") <= half), log.filter(F.col("position") > half))
     for batch_id, part in enumerate(parts):
-        table.upsert(part, batch_id, ["position"])
+        table.upsert(part, batch_id, ["position"], writer="log")
         if compact:
             table.compact()
     return table
@@ -386,10 +385,29 @@ def _upserted(spark: SparkSession, sf: str, compact: bool) -> UpsertTable:
 @query("upsert_latest")
 def _(spark, sf):
     table = _upserted(spark, sf, compact=False)
-    table.upsert(table.batch(0), 1)  # a replayed batch changes nothing
+    table.upsert(table.batch(0, "log"), 1, writer="log")  # a replayed batch changes nothing
     return table.latest().drop("position")
 
 
+@query("upsert_two_writers")
+def _(spark, sf):
+    """Two writers that number their batches alike; neither's rows are lost."""
+    table = UpsertTable(spark, shared_dir(spark, "keyed"), ["order_key"], buckets=8)
+    log = keyed_changes(spark, sf).drop("_deleted")
+    for writer, odd in (("a", 0), ("b", 1)):
+        table.upsert(log.filter(F.col("order_key") % 2 == odd), 0, writer=writer)
+    table.compact()
+    return UpsertTable(spark, table.path, ["order_key"], buckets=8).latest().drop("position")
+
+
+@query("latest_by_integer_key")
+def _(spark, sf):
+    """One customer looked up by number in the compacted table: one bucket is read."""
+    table = _upserted(spark, sf, compact=True)
+    key = table.latest().agg(F.max("customer")).first()[0]
+    return table.latest(key).drop("position")
+
+
 @query("unique_key_compact")
 def _(spark, sf):
     return _upserted(spark, sf, compact=True).latest().drop("position")
@@ -439,12 +457,11 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_tumble_final")
 def _(spark, sf):
-    """The fused stream over JSON files, in three batches, late rows kept."""
+    """The fused stream over JSON files, two a batch, late rows kept."""
     path = shared_dir(spark, "fused")
     raw = raw_readings(spark, sf)
-    raw.write.json(f"{path}/raw")
-    batch = math.ceil(raw.rdd.getNumPartitions() / 3)
-    stream = read_json_folder(spark, f"{path}/raw", files_per_batch=batch)
+    raw.repartition(6).write.json(f"{path}/raw")
+    stream = read_json_folder(spark, f"{path}/raw", files_per_batch=2)
     table = stored_table_at(spark, f"{path}/table", null_key="drop")
     start_fused(
         stream, table, f"{path}/checkpoint", late="keep", trigger=UNTIL_DONE, at=fixed_clocks()
@@ -531,6 +548,13 @@ def _(spark, sf):
     return _rounded(metrics.counter_rate(_samples(spark, sf, "counter"), ["metric"], "1 hour"))
 
 
+@query("metric_rate_stepped")
+def _(spark, sf):
+    """Rates over three hours, every hour."""
+    samples = _samples(spark, sf, "counter")
+    return _rounded(metrics.counter_rate(samples, ["metric"], "3 hours", "1 hour"))
+
+
 @query("metric_irate")
 def _(spark, sf):
     return _rounded(metrics.irate(_samples(spark, sf, "counter"), SERIES, DAY))

@@ -343,6 +343,10 @@ def _tables() -> dict[str, str]:
         "totals_topic": _from("totals", "SELECT * FROM totals WHERE patient_id IS NOT NULL"),
         "upsert_latest": _CUSTOMERS,
         "unique_key_compact": _CUSTOMERS,
+        "latest_by_integer_key": f"""SELECT * FROM ({_CUSTOMERS}) AS c
+WHERE customer = (SELECT max(customer) FROM ({_CUSTOMERS}) AS d)""",
+        "upsert_two_writers": """SELECT o_custkey AS customer, o_orderkey AS order_key,
+  o_totalprice AS price, o_orderdate::TIMESTAMP AS ordered_at FROM orders""",
         "stored_table_by_day": _ALL_STORED,
         "upsert_auto_create": """SELECT o_custkey AS customer, max(o_orderkey) AS order_key,
   arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""",
@@ -395,16 +399,17 @@ _LAST = """daily AS (
 
 def _rates(keys: str, at: str, seconds: int) -> str:
     return f"""rates AS (
-  SELECT {keys}, eval_time, sum(CASE WHEN counter < before THEN counter ELSE counter - before END)
-      / {seconds} AS value
-  FROM (SELECT {keys}, {at} AS eval_time, counter,
-      lag(counter) OVER (PARTITION BY {keys}, {at} ORDER BY ts) AS before FROM samples)
+  SELECT {keys}, {at} AS eval_time,
+    sum(CASE WHEN counter < before THEN counter ELSE counter - before END) / {seconds} AS value
+  FROM (SELECT {keys}, ts, counter, lag(counter) OVER (PARTITION BY {keys} ORDER BY ts) AS before
+    FROM (SELECT {keys}, ts, max(counter) AS counter FROM samples GROUP BY ALL))
   WHERE before IS NOT NULL GROUP BY ALL)"""
 
 
 def _metrics() -> dict[str, str]:
     series = "metric, instance, env"
-    rates = f"WITH {_SAMPLES},\n{_rates(series, 'eval_time', 86400)}\n"
+    day = "date_trunc('day', ts) + INTERVAL 1 DAY"
+    rates = f"WITH {_SAMPLES},\n{_rates(series, day, 86400)}\n"
     daily = f"WITH {_SAMPLES},\n{_LAST}\n"
     plain = f"WITH {_SAMPLES}\n"
     hour = "date_trunc('hour', ts) + INTERVAL 1 HOUR"
@@ -412,6 +417,9 @@ def _metrics() -> dict[str, str]:
         "metric_rate": rates + f"SELECT {series}, eval_time, round(value, 10) AS value FROM rates",
         "metric_rate_hourly": f"WITH {_SAMPLES},\n{_rates('metric', hour, 3600)}\n"
         "SELECT metric, eval_time, round(value, 10) AS value FROM rates",
+        "metric_rate_stepped": f"WITH {_SAMPLES},\n{_rates('metric', hour, 1)}\n"
+        """SELECT metric, eval_time, round(sum(value) / 10800, 10) AS value FROM (
+  SELECT metric, eval_time + to_hours(unnest(range(3))) AS eval_time, value FROM rates) GROUP BY ALL""",
         "metric_irate": plain
         + f"""SELECT {series}, eval_time,
   round((CASE WHEN counter < before THEN counter ELSE counter - before END)

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.session import spread
 from wardline.vitals import CODES
 
 # Shape of each vital's value for event e, in hundredths: lowest, step, span, and every which
@@ -32,7 +31,7 @@ _SHAPES = (
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived readings of the whole ``events`` table, in the raw schema."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id")
-    return readings_from_events(spread(events))
+    return readings_from_events(events)
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:

@@ -164,6 +164,9 @@ def read_json_folder(
 ) -> DataFrame:
     """A stream (or batch) of JSON rows from a folder, one row per line, with a fixed schema.
 
+    Producers must move whole files in: a file listed while it is being written is read as it is
+    then and never again.
+
     The record time is a field of the rows if they have one, else the time the file was
     written. ``start_after`` leaves out files written up to that time: the file version of
     starting at the latest offset. Keep the time with the checkpoint, so that a restart uses

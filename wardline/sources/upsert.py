@@ -2,15 +2,18 @@
 
 Layout below ``path``::
 
-    changes/_batch=N/                      the rows written by batch N, in no partitions
-    base/_version=K/_day=D/_bucket=B/      merged rows, one version folder per compaction
+    changes/_run=R/_batch=N/               the rows of the N-th batch of the table
+    base/_version=R/_day=D/_bucket=B/      merged rows, one folder R per compaction
     _versions/                             which of these count (see ``versions``)
 
+R is random, so that a writer which loses the race for a commit has touched nothing of the winner's.
+
 Writers only add folders, so readers of an older state are never disturbed until ``vacuum``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -24,7 +27,7 @@ from wardline.vitals import BUCKETS
 
 _BATCH = "_batch"
 # Folder columns; the leading underscore keeps them apart from the columns of the rows.
-_VERSION, _DAY, _BUCKET = "_version", "_day", "_bucket"
+_RUN, _VERSION, _DAY, _BUCKET = "_run", "_version", "_day", "_bucket"
 
 
 def bucket_of(column: Column, buckets: int = BUCKETS) -> Column:
@@ -38,6 +41,8 @@ class UpsertTable:
     ``day_column``, one of the keys, splits the merged rows by date as well, so that compaction rewrites only
     the days that changed and retention drops whole folders. ``null_key`` says what happens
     to a row without a full key: ``"error"`` stops the write, ``"drop"`` leaves the row out.
+
+    Keys, buckets and day column are stored with the first batch; opening the table with others raises.
     """
 
     def __init__(
@@ -59,36 +64,78 @@ class UpsertTable:
 
     # -- writing ---------------------------------------------------------------------------
 
-    def upsert(self, rows: DataFrame, batch_id: int, order: Sequence[str] = ()) -> bool:
-        """Write one batch; False if that batch was committed before (a replay).
+    def upsert(
+        self, rows: DataFrame, batch_id: int, order: Sequence[str] = (), writer: str | None = None
+    ) -> bool:
+        """Write one batch; False if this writer committed it before (a replay).
 
-        A boolean ``_deleted`` column marks rows that remove their key. ``order`` names the
-        columns that tell which of several rows of one key in the batch is the last.
+        Batch numbers count per ``writer``: a stream's checkpoint, say. Without a writer a number that was
+        used before raises, as nothing tells a replay from new rows. A boolean ``_deleted`` column marks
+        rows that remove their key. ``order`` names the columns that tell which of several rows of
+        one key in the batch is the last; without it a key that repeats stops the write.
         """
-        version, state = self._versions.read()
-        if batch_id <= state.get("last_batch", -1):
+        version, state = self._read()
+        name = writer or ""
+        if batch_id <= state.get("writers", {}).get(name, -1):
+            if writer is None:
+                raise ValueError(f"batch {batch_id} was written before; name the writer if it is a replay")
             return False
         if DELETED not in rows.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
         rows = self._checked(rows)
         if order:
             rows = latest_per_key(rows, self.keys, order)
-        target = f"{self.path}/changes/_batch={batch_id:012d}"
-        rows.write.mode("overwrite").parquet(target)
-        state = {
-            "base": state.get("base", {}),
-            "batches": [*state.get("batches", []), batch_id],
-            "last_batch": batch_id,
-            "schema": rows.drop(DELETED).schema.jsonValue(),
-        }
-        self._versions.commit(version, state)
+        place, run = state.get("next", 0), uuid.uuid4().hex
+        target = f"{self.path}/changes/{_RUN}={run}"
+        rows.write.parquet(f"{target}/{_BATCH}={place:012d}")
+        if not order:
+            self._refuse_repeats(f"{target}/{_BATCH}={place:012d}")
+        entry = {"run": run, "place": place, "writer": name, "batch": batch_id}
+        self._versions.commit(
+            version,
+            {
+                **state,
+                "base": state.get("base", {}),
+                "batches": [*state.get("batches", []), entry],
+                "next": place + 1,
+                "writers": {**state.get("writers", {}), name: batch_id},
+                "layout": self._layout(),
+                "schema": self._widened(state, rows.drop(DELETED).schema).jsonValue(),
+            },
+        )
         return True
 
+    def _layout(self) -> dict[str, Any]:
+        return {"keys": self.keys, "buckets": self.buckets, "day_column": self.day_column}
+
+    def _read(self) -> tuple[int, dict[str, Any]]:
+        version, state = self._versions.read()
+        if state and state["layout"] != self._layout():
+            raise ValueError(f"the table is laid out by {state['layout']}, not {self._layout()}")
+        return version, state
+
+    def _refuse_repeats(self, folder: str) -> None:
+        again = self.spark.read.parquet(folder).groupBy(*self.keys).count().filter("count > 1")
+        if again.limit(1).count():
+            self._versions.delete(folder.rsplit("/", 1)[0])
+            raise ValueError("a key repeats in the batch: name the columns that order its rows")
+
+    @staticmethod
+    def _widened(state: dict[str, Any], new: T.StructType) -> T.StructType:
+        """The columns so far, then new ones: a batch without a column leaves it null in its rows."""
+        old = T.StructType.fromJson(state["schema"]) if state else T.StructType()
+        kinds = {f.name: f.dataType for f in old}
+        for f in new:
+            if f.name in kinds and kinds[f.name] != f.dataType:
+                raise ValueError(f"column {f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}")
+        extra = [T.StructField(f.name, f.dataType) for f in new if f.name not in kinds]
+        return T.StructType([*(T.StructField(f.name, f.dataType) for f in old), *extra])
+
     def writer(self, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
         """A ``foreachBatch`` function; creates the table with the first batch."""
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            self.upsert(rows, batch_id, order)
+            self.upsert(rows, batch_id, order, writer_of(rows))
 
         return write
 
@@ -117,10 +164,13 @@ class UpsertTable:
             return self.spark.createDataFrame([], stored).withColumn(
                 _BATCH, F.lit(0).cast("bigint")
             )
-        layout = T.StructType([*stored.fields, T.StructField(_BATCH, T.LongType())])
-        paths = [f"{self.path}/changes/_batch={b:012d}" for b in state["batches"]]
+        folders = [T.StructField(_RUN, T.StringType()), T.StructField(_BATCH, T.LongType())]
+        layout = T.StructType([*stored.fields, *folders])
+        paths = [
+            f"{self.path}/changes/{_RUN}={b['run']}/{_BATCH}={b['place']:012d}" for b in state["batches"]
+        ]
         reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/changes")
-        return reader.parquet(*paths)
+        return reader.parquet(*paths).drop(_RUN)
 
     def _base(
         self, state: dict[str, Any], parts: Sequence[str] | None = None
@@ -129,7 +179,7 @@ class UpsertTable:
         layout = T.StructType(
             [
                 *self._schema(state).fields,
-                T.StructField(_VERSION, T.LongType()),
+                T.StructField(_VERSION, T.StringType()),
                 T.StructField(_DAY, T.DateType()),
                 T.StructField(_BUCKET, T.IntegerType()),
             ]
@@ -144,12 +194,13 @@ class UpsertTable:
 
     def changelog(self) -> DataFrame:
         """Rows written since the last compaction, each with ``_batch`` and ``_deleted``."""
-        return self._changes(self._versions.read()[1])
+        return self._changes(self._read()[1])
 
-    def batch(self, batch_id: int) -> DataFrame:
-        """The rows of one committed batch that is not compacted yet, deletions left out."""
-        _, state = self._versions.read()
-        rows = self._changes({**state, "batches": [b for b in state["batches"] if b == batch_id]})
+    def batch(self, batch_id: int, writer: str | None = None) -> DataFrame:
+        """The rows of a writer's committed batch that is not compacted yet, deletions left out."""
+        _, state = self._read()
+        same = [b for b in state["batches"] if (b["writer"], b["batch"]) == (writer or "", batch_id)]
+        rows = self._changes({**state, "batches": same})
         return rows.filter(~F.col(DELETED)).drop(DELETED, _BATCH)
 
     def latest(self, first_key: Any = None) -> DataFrame:
@@ -158,7 +209,7 @@ class UpsertTable:
         Only the keys of recent changes take part in the merge: the base is unique already,
         so it needs no aggregation, and Spark broadcasts the changed keys if they are small.
         """
-        _, state = self._versions.read()
+        _, state = self._read()
         recent = self._changes(state)
         if first_key is None:
             base = self._base(state)
@@ -171,7 +222,10 @@ class UpsertTable:
 
     def _folders_of(self, state: dict[str, Any], first_key: Any) -> list[str]:
         """The folders of the one bucket that can hold a key; the others are not even listed."""
-        one = self.spark.range(1).select(bucket_of(F.lit(first_key), self.buckets).alias("b"))
+        # Hashes depend on the type: 5 as an int is another bucket than 5 as a bigint.
+        kind = self._schema(state)[self.keys[0]].dataType
+        typed = F.lit(first_key).cast(kind)
+        one = self.spark.range(1).select(bucket_of(typed, self.buckets).alias("b"))
         suffix = f"/_bucket={one.first()['b']}"
         return [p for p in state.get("base", {}) if p.endswith(suffix)]
 
@@ -201,7 +255,7 @@ class UpsertTable:
 
     def compact_if(self, batches: int) -> int:
         """Compact once the change log has grown to that many batches."""
-        _, state = self._versions.read()
+        _, state = self._read()
         return self.compact() if len(state.get("batches", [])) >= batches else 0
 
     def compact(self) -> int:
@@ -210,7 +264,7 @@ class UpsertTable:
         The rows of a folder are dealt to as many tasks as their size asks for (rebalance), so
         a bucket with a great share of the table is not one task. Gives the folders rewritten.
         """
-        version, state = self._versions.read()
+        version, state = self._read()
         recent = self._changes(state)
         # Names of folders, not data: at most days times buckets of them.
         touched = [
@@ -220,24 +274,23 @@ class UpsertTable:
         if not touched:
             return 0
         merged = self._placed(self._merged(state, self._base(state, touched), recent))
-        target = f"{self.path}/base/_version={version + 1}"
-        merged.hint("rebalance", _DAY, _BUCKET).write.mode("overwrite").partitionBy(
-            _DAY, _BUCKET
-        ).parquet(target)
+        run = uuid.uuid4().hex
+        target = f"{self.path}/base/{_VERSION}={run}"
+        merged.hint("rebalance", _DAY, _BUCKET).write.partitionBy(_DAY, _BUCKET).parquet(target)
         present = {
             f"{day.rsplit('/', 1)[1]}/{bucket.rsplit('/', 1)[1]}"
             for day in self._versions.folders(target)
             for bucket in self._versions.folders(day)
         }
         base = {p: v for p, v in state["base"].items() if p not in touched}
-        base.update({p: version + 1 for p in touched if p in present})
+        base.update({p: run for p in touched if p in present})
         self._versions.commit(version, {**state, "base": base, "batches": []})
         return len(touched)
 
     def vacuum(self) -> list[str]:
         """Delete folders the newest state does not name; readers must be on that state."""
-        _, state = self._versions.read()
-        alive = {f"_batch={b:012d}" for b in state.get("batches", [])}
+        _, state = self._read()
+        alive = {f"{_RUN}={b['run']}" for b in state.get("batches", [])}
         alive |= {f"_version={v}" for v in state.get("base", {}).values()}
         gone = [
             folder
@@ -251,6 +304,14 @@ class UpsertTable:
         return gone
 
 
+def writer_of(rows: DataFrame) -> str:
+    """Inside ``foreachBatch``: the id of the running query, which stays with its checkpoint."""
+    name = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not name:
+        raise RuntimeError("not called from a streaming query")
+    return name
+
+
 def _folder(day: Any, bucket: int) -> str:
     name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
     return f"_day={name}/_bucket={bucket}"

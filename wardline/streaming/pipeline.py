@@ -17,7 +17,8 @@ from wardline.operators.totals import load_typed, totals
 from wardline.operators.window import tumble_pivot
 from wardline.plans.pipeline import Clocks, early_warning
 from wardline.schemas import ENRICHED, ROUTED, SCORED, SCORES_KEY, STORED_KEY
-from wardline.sources.upsert import UpsertTable
+from wardline.sources.upsert import UpsertTable, writer_of
+from wardline.vitals import BUCKETS
 
 # Exactly once comes from the checkpoint and the tables' commit per batch; a batch a minute.
 EVERY_MINUTE: dict[str, Any] = {"processingTime": "60 seconds"}
@@ -33,9 +34,11 @@ def _lateness(late: str, lateness: str) -> str | None:
     return lateness if late == "drop" else None
 
 
-def stored_table_at(spark: SparkSession, path: str, null_key: str = "error") -> UpsertTable:
+def stored_table_at(
+    spark: SparkSession, path: str, null_key: str = "error", buckets: int = BUCKETS
+) -> UpsertTable:
     """The final table: unique per patient and window, by day and patient bucket."""
-    return UpsertTable(spark, path, STORED_KEY, day_column="window_start", null_key=null_key)
+    return UpsertTable(spark, path, STORED_KEY, buckets, "window_start", null_key)
 
 
 def start_fused(
@@ -58,7 +61,8 @@ def start_fused(
 
     def write(rows: DataFrame, batch_id: int) -> None:
         # A batch comes in as many parts as there is state; rebalanced, it is few files.
-        table.upsert(load_typed(rows, at.storage).hint("rebalance"), batch_id)
+        final = load_typed(rows, at.storage).hint("rebalance")
+        table.upsert(final, batch_id, writer=writer_of(rows))
         table.compact_if(compact_every)
 
     return (
@@ -89,6 +93,7 @@ class Staged:
     at: Clocks = Clocks()
     file_format: str = "parquet"
     compact_every: int = COMPACT_EVERY
+    buckets: int = BUCKETS
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -139,6 +144,7 @@ class Staged:
             self.spark,
             self._path("scores"),
             SCORES_KEY,
+            self.buckets,
             day_column="window_start",
             null_key=self.null_key,
         )
@@ -146,7 +152,7 @@ class Staged:
     @property
     def stored(self) -> UpsertTable:
         """The final table."""
-        return stored_table_at(self.spark, self._path("stored"), self.null_key)
+        return stored_table_at(self.spark, self._path("stored"), self.null_key, self.buckets)
 
     def combine(self) -> StreamingQuery:
         """Stages 4 to 6: window and pivot into ``scores``, then totals into ``stored``.
@@ -160,9 +166,10 @@ class Staged:
         )
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            self.scores.upsert(rows.hint("rebalance"), batch_id)
-            final = totals(self.scores.batch(batch_id), self.at.aggregation)
-            self.stored.upsert(load_typed(final, self.at.storage), batch_id)
+            writer = writer_of(rows)
+            self.scores.upsert(rows.hint("rebalance"), batch_id, writer=writer)
+            final = totals(self.scores.batch(batch_id, writer), self.at.aggregation)
+            self.stored.upsert(load_typed(final, self.at.storage), batch_id, writer=writer)
             for table in (self.scores, self.stored):
                 table.compact_if(self.compact_every)
 
