@@ -80,7 +80,17 @@ class Ids(dict):
     def __missing__(self, piece: str) -> bytes | None:
         if len(self) >= _LIMIT:
             self.clear()
-        self[piece] = value = self._piece(piece)
+        if piece.isascii() and piece.isalpha():  # most words
+            low = piece.lower()
+            if not self.lowers:
+                value = self._merged("Ġ" + piece)
+            else:
+                value = self[low] if low != piece else self._merged(low)
+        elif piece.isascii() and piece[:-1].isalpha() and piece[-1] in ".,":
+            value = self[piece[:-1]] + self._marks(piece[-1])
+        else:
+            value = self._piece(piece)
+        self[piece] = value
         return value
 
     def _piece(self, piece: str) -> bytes | None:
