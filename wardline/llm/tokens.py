@@ -13,7 +13,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-_LIMIT = 1_000_000
+#: Pieces kept, in each of two generations.
+_LIMIT = 600_000
 #: Letters that normalisation leaves alone or lower-cases one by one.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"( ?)([{_LETTERS}]*)([!-&(-/:-@\[-`{{-~]*)")
@@ -41,6 +42,7 @@ class Ids(dict):
         self.model, self.lowers, self.dtype = self.tokenizer.model, lowers, np.dtype(dtype)
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.marks: dict[str, bytes] = {}
+        self.old: dict[str, bytes | None] = {}
         self.shown = {b: s for b, s in enumerate(_shown_bytes())}
 
     def _whole(self, text: str) -> bytes:
@@ -78,12 +80,15 @@ class Ids(dict):
         return self._merged(blank + word) + (self._marks(rest) if rest else b"")
 
     def __missing__(self, piece: str) -> bytes | None:
-        if len(self) >= _LIMIT:
+        if len(self) >= _LIMIT:  # what is still in use comes back from the older generation
+            self.old = self.copy()
             self.clear()
-        if piece.isascii() and piece.isalpha():  # most words
+        if piece in self.old:
+            value = self.old.pop(piece)
+        elif piece.isascii() and piece.isalpha():  # most words
             low = piece.lower()
             if not self.lowers:
-                value = self._merged("Ġ" + piece)
+                value = self._merged(" " + piece)
             else:
                 value = self[low] if low != piece else self._merged(low)
         elif piece.isascii() and piece[:-1].isalpha() and piece[-1] in ".,":
