@@ -259,7 +259,11 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id
 
 
 def _search_block(index: DataFrame, block: Queries, k: int, mean: float) -> DataFrame:
-    sent = index.sparkSession.sparkContext.broadcast(block)
+    context = index.sparkSession.sparkContext
+    sent = context.broadcast(block)
+    # two tasks a core: the thresholds carry over from shard to shard, and the k hits that each task
+    # gives for each query are as many as there are cores, not as the data has shards
+    index = index.coalesce(2 * context.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = sent.value
