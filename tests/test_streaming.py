@@ -12,7 +12,14 @@ from wardline.plans.pipeline import fixed_clocks, scored_readings, stored_table
 from wardline.plans.readings import raw_readings
 from wardline.schemas import RAW_PAYLOAD
 from wardline.sources.json_topics import read_json_folder
-from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
+from wardline.streaming.pipeline import (
+    UNTIL_DONE,
+    Staged,
+    add_to_windows,
+    start_fused,
+    stored_table_at,
+    sums_table_at,
+)
 from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
 
 AT = fixed_clocks
@@ -216,6 +223,38 @@ def test_fused_stream_equals_batch_on_test_tables(spark, sf_dir):
     assert as_dicts(final, "patient_id")[0]["patient_id"].startswith("P")
 
 
+@pytest.mark.parametrize("late", ["keep", "drop"])
+def test_bad_readings_are_written_beside(spark, tmp_path, late):
+    readings = [
+        reading(value="60"),
+        reading(value="n/a"),
+        reading(value="NaN"),
+        reading(device_id="nobody"),
+        reading(when=None),
+    ]
+    write_files(spark, str(tmp_path / "raw"), [readings])
+    bad = str(tmp_path / "bad")
+    table, _ = run_fused(spark, str(tmp_path), late, on_bad="quarantine", quarantine=bad)
+    for query in spark.streams.active:
+        query.awaitTermination()
+    problems = sorted(r.problem for r in spark.read.parquet(bad).collect())
+    assert problems == ["no measurement time", "no patient", "not a number", "not finite"]
+    assert bag(table.latest()) == batch_result(spark, readings[:1])
+    with pytest.raises(ValueError):
+        run_fused(spark, str(tmp_path), late, on_bad="quarantine")
+
+
+def test_a_combined_batch_that_comes_again_counts_once(spark, tmp_path):
+    table = sums_table_at(spark, str(tmp_path / "sums"), "error", 4)
+    scored = scored_readings(raw_frame(spark, some_readings()), AT())
+    for batch, writer in ((0, "a"), (0, "a"), (0, "b")):
+        changed = add_to_windows(table, scored, batch, writer)
+        n = changed.agg(F.sum("heart_rate_n")).first()[0]
+        assert n == 24 * (1 if writer == "a" else 2)
+        table.compact_if(2 if writer == "a" else 1)
+    assert table.latest().agg(F.sum("heart_rate_n")).first()[0] == 48
+
+
 def test_stages_run_side_by_side(spark, tmp_path):
     readings = some_readings()
     write_files(spark, str(tmp_path / "raw"), [readings[0::2]])

@@ -18,11 +18,12 @@ def stage_clock(clock: Column | None) -> Column:
     return F.current_timestamp() if clock is None else clock
 
 
-def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_bad(raw: DataFrame, need_patient: bool = False) -> tuple[DataFrame, DataFrame]:
     """Part raw readings into usable ones and ones for quarantine.
 
     Bad are readings whose value is no number or not finite, and those without a measurement
-    time, which no window could hold. The bad ones get a ``problem`` column.
+    time, which no window could hold; with ``need_patient`` also those whose device names no
+    patient, which a keyed table refuses. The bad ones get a ``problem`` column.
     """
     problem = F.expr(
         """
@@ -34,6 +35,9 @@ def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         END
         """
     )
+    if need_patient:
+        nobody = F.when(patient_id("device_id").isNull(), "no patient")
+        problem = F.coalesce(problem, nobody)
     good = raw.filter(problem.isNull())
     bad = raw.withColumn("problem", problem).filter(F.col("problem").isNotNull())
     return good, bad

@@ -479,21 +479,65 @@ def _(spark, sf):
     return staged.stored.latest()
 
 
-@query("stream_late_drop")
-def _(spark, sf):
-    """The fused stream with a watermark; one batch, so nothing is late yet."""
+def _with_late_rows(spark: SparkSession, sf: str, late: str) -> DataFrame:
+    """A quarter of the readings arrives after all others, by a second run of the stream."""
     path = shared_dir(spark, "late")
     table = stored_table_at(spark, f"{path}/table", null_key="drop")
+    raw, afterwards = raw_readings(spark, sf), F.second("measurement_timestamp") % 20 == 5
+    for part in (raw.filter(~afterwards), raw.filter(afterwards)):
+        part.write.mode("append").json(f"{path}/raw")
+        start_fused(
+            read_json_folder(spark, f"{path}/raw"),
+            table,
+            f"{path}/checkpoint",
+            late=late,
+            lateness=WATERMARK,
+            trigger=UNTIL_DONE,
+            at=fixed_clocks(),
+        ).awaitTermination()
+    return table.latest()
+
+
+@query("stream_late_keep")
+def _(spark, sf):
+    """Late readings are added to their windows."""
+    return _with_late_rows(spark, sf, "keep")
+
+
+@query("stream_late_drop")
+def _(spark, sf):
+    """Late readings are dropped where the watermark has passed the end of their window."""
+    return _with_late_rows(spark, sf, "drop")
+
+
+def _quarantining(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    path = shared_dir(spark, "aside")
+    dirty(raw_readings(spark, sf)).write.json(f"{path}/raw")
+    table = stored_table_at(spark, f"{path}/table")
     start_fused(
-        _event_stream(spark, sf),
+        read_json_folder(spark, f"{path}/raw"),
         table,
         f"{path}/checkpoint",
-        late="drop",
-        lateness=WATERMARK,
         trigger=UNTIL_DONE,
+        on_bad="quarantine",
         at=fixed_clocks(),
+        quarantine=f"{path}/bad",
     ).awaitTermination()
-    return table.latest()
+    return table.latest(), spark.read.parquet(f"{path}/bad")
+
+
+@query("stream_quarantine")
+def _(spark, sf):
+    """What a stream sets aside: no number, not finite, no time, no patient."""
+    _, bad = _quarantining(spark, sf)
+    return bad.select("device_id", "ingestion_timestamp", "raw_value", "problem")
+
+
+@query("stream_quarantine_good")
+def _(spark, sf):
+    """The final table of the same stream; the table would refuse rows without a patient."""
+    good, _ = _quarantining(spark, sf)
+    return good
 
 
 @query("stream_ttl")

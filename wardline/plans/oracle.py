@@ -80,6 +80,17 @@ judged AS (
 _GOOD = _DIRTY + """,
 raw AS (SELECT * EXCLUDE (problem) FROM judged WHERE problem IS NULL)"""
 
+# A quarter of the readings comes late; the watermark stands ten seconds below the newest of the others.
+_IN_TIME = (
+    _CLEAN.replace("raw AS (", "clean AS (", 1)
+    + """,
+raw AS (
+  SELECT * FROM clean WHERE second(measurement_timestamp) % 20 <> 5
+    OR date_trunc('minute', measurement_timestamp) + INTERVAL 1 MINUTE > (
+      SELECT max(measurement_timestamp) - INTERVAL 10 SECOND FROM clean
+      WHERE second(measurement_timestamp) % 20 <> 5 AND measurement_type <> 'BODY_WEIGHT'))"""
+)
+
 _FACTORS = """factors AS (
   SELECT *,
     CAST(raw_value AS DOUBLE) AS value,
@@ -352,7 +363,16 @@ WHERE customer = (SELECT max(customer) FROM ({_CUSTOMERS}) AS d)""",
   arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""",
         "stream_tumble_final": _ALL_STORED,
         "stream_staged_final": _ALL_STORED,
-        "stream_late_drop": _ALL_STORED,
+        "stream_late_keep": _ALL_STORED,
+        "stream_late_drop": _from(
+            "stored", "SELECT * FROM stored WHERE patient_id IS NOT NULL", _IN_TIME
+        ),
+        "stream_quarantine": f"""WITH {_KINDS}, {_DIRTY}
+SELECT device_id, ingestion_timestamp, raw_value, coalesce(problem, 'no patient') AS problem
+FROM judged WHERE problem IS NOT NULL OR NOT regexp_matches(device_id, '_P[0-9]+$')""",
+        "stream_quarantine_good": _from(
+            "stored", "SELECT * FROM stored WHERE patient_id IS NOT NULL", _GOOD
+        ),
         "stream_ttl": _ALL_STORED,
         "retention_7d": """SELECT event_id, ts, value FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS""",

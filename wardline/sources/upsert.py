@@ -65,7 +65,12 @@ class UpsertTable:
     # -- writing ---------------------------------------------------------------------------
 
     def upsert(
-        self, rows: DataFrame, batch_id: int, order: Sequence[str] = (), writer: str | None = None
+        self,
+        rows: DataFrame,
+        batch_id: int,
+        order: Sequence[str] = (),
+        writer: str | None = None,
+        combine: Callable[[DataFrame], DataFrame] | None = None,
     ) -> bool:
         """Write one batch; False if this writer committed it before (a replay).
 
@@ -73,6 +78,10 @@ class UpsertTable:
         used before raises, as nothing tells a replay from new rows. A boolean ``_deleted`` column marks
         rows that remove their key. ``order`` names the columns that tell which of several rows of
         one key in the batch is the last; without it a key that repeats stops the write.
+
+        ``combine`` turns several rows of a key into one. Then new rows do not replace those of their keys
+        but are combined with them; of the table only the folders that can hold these keys are read, and
+        if another writer commits in between, the commit fails as any other.
         """
         version, state = self._read()
         name = writer or ""
@@ -80,15 +89,29 @@ class UpsertTable:
             if writer is None:
                 raise ValueError(f"batch {batch_id} was written before; name the writer if it is a replay")
             return False
+        if combine is not None:
+            if DELETED in rows.columns or order:
+                raise ValueError("rows to combine are neither deletions nor ordered")
+            fresh = self._checked(rows).persist()
+            try:
+                rows = combine(self._same_keys(state, fresh).unionByName(fresh, allowMissingColumns=True))
+                return self._write(version, state, rows.withColumn(DELETED, F.lit(False)), batch_id, name, False)
+            finally:
+                fresh.unpersist()
         if DELETED not in rows.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
         rows = self._checked(rows)
         if order:
             rows = latest_per_key(rows, self.keys, order)
+        return self._write(version, state, rows, batch_id, name, not order)
+
+    def _write(
+        self, version: int, state: dict[str, Any], rows: DataFrame, batch_id: int, name: str, check: bool
+    ) -> bool:
         place, run = state.get("next", 0), uuid.uuid4().hex
         target = f"{self.path}/changes/{_RUN}={run}"
         rows.write.parquet(f"{target}/{_BATCH}={place:012d}")
-        if not order:
+        if check:
             self._refuse_repeats(f"{target}/{_BATCH}={place:012d}")
         entry = {"run": run, "place": place, "writer": name, "batch": batch_id}
         self._versions.commit(
@@ -229,6 +252,21 @@ class UpsertTable:
         suffix = f"/_bucket={one.first()['b']}"
         return [p for p in state.get("base", {}) if p.endswith(suffix)]
 
+    def _same_keys(self, state: dict[str, Any], rows: DataFrame) -> DataFrame:
+        """The table's rows that have a key of ``rows``."""
+        if not state:
+            return rows.limit(0)
+        keys = rows.select(*self.keys).distinct()
+        base = self._base(state, self._folders(keys))
+        base = None if base is None else base.join(keys, self.keys, "left_semi")
+        recent = self._changes(state).join(keys, self.keys, "left_semi")
+        return self._merged(state, base, recent)
+
+    def _folders(self, rows: DataFrame) -> list[str]:
+        """Names of the folders the rows belong to: at most days times buckets of them."""
+        places = self._placed(rows).select(_DAY, _BUCKET).distinct()
+        return [_folder(row._day, row._bucket) for row in places.collect()]
+
     def _merged(
         self, state: dict[str, Any], base: DataFrame | None, recent: DataFrame
     ) -> DataFrame:
@@ -266,11 +304,7 @@ class UpsertTable:
         """
         version, state = self._read()
         recent = self._changes(state)
-        # Names of folders, not data: at most days times buckets of them.
-        touched = [
-            _folder(row._day, row._bucket)
-            for row in self._placed(recent).select(_DAY, _BUCKET).distinct().collect()
-        ]
+        touched = self._folders(recent)
         if not touched:
             return 0
         merged = self._placed(self._merged(state, self._base(state, touched), recent))
