@@ -20,11 +20,11 @@ HEADLINES = (
     "enrich_measurements",
     "score_all_one_pass",
     "news2_pipeline",
-    "news2_pipeline_by_branch",
     "half_hour_all_patients",
     "half_hour_one_patient",
     "distinct_patients",
     "stage_latency_avg",
+    "served_half_hour_one_patient",
     "raw_topic",
     "upsert_topic",
     "upsert_latest",

@@ -15,6 +15,7 @@ from wardline.session import shared_dir
 from wardline.sources import ingest
 from wardline.sources.json_topics import (
     decode_append,
+    decode_changes,
     decode_upsert,
     encode_append,
     encode_upsert,
@@ -142,6 +143,37 @@ def test_one_key_reads_one_bucket(spark, table):
     assert len({f.rsplit("_bucket=", 1)[1].split("/")[0] for f in read}) == 1
 
 
+def test_days_read_only_their_folders(spark, table):
+    days = [at(days=-d) for d in range(4)]
+    table.upsert(rows(spark, *((k, t, 1) for k in "abcd" for t in days)), 0)
+    table.compact()
+    table.upsert(rows(spark, ("a", days[1], 2), ("e", days[3], 2)), 1)
+    wanted = (days[2].date(), days[1].date())
+    some = table.latest(days=wanted)
+    parts = {f.split("_day=")[1].split("/")[0] for f in some.inputFiles() if "_day=" in f}
+    assert parts == {d.isoformat() for d in wanted}
+    expected = [(k, t, 2 if (k, t) == ("a", days[1]) else 1) for k in "abcd" for t in (days[2], days[1])]
+    assert content(some) == sorted(expected)
+    assert content(table.latest("a", days=wanted)) == [("a", days[2], 1), ("a", days[1], 2)]
+    assert content(table.latest("e", days=wanted)) == []
+
+
+def test_old_days_are_let_go(spark, table):
+    days = [at(days=-d) for d in range(4)]
+    table.upsert(rows(spark, *(("a", t, 1) for t in days)), 0)
+    assert table.retain(days[1].date()) == 2
+    assert content(table.latest()) == [("a", days[1], 1), ("a", days[0], 1)]
+    assert table.retain(days[1].date()) == 0
+    table.upsert(rows(spark, ("a", days[3], 2)), 1)  # late, until the next time
+    assert table.retain(days[1].date()) == 1
+    table.vacuum()
+    assert content(table.latest()) == [("a", days[1], 1), ("a", days[0], 1)]
+    by_key = UpsertTable(spark, table.path + "2", ["k"])
+    for call in (lambda: by_key.retain(days[0].date()), lambda: by_key.latest(days=(NOON.date(), NOON.date()))):
+        with pytest.raises((ValueError, FileNotFoundError)):
+            call()
+
+
 def test_many_versions_of_one_key(spark):
     n = 50_000
     log = spark.range(n, numPartitions=8).select(
@@ -197,6 +229,25 @@ def test_hot_and_cold_together_never_change(spark, tmp_path):
     assert table.read().count() == 8
 
 
+def test_moves_of_a_table_that_is_not_there(spark, tmp_path):
+    table = TieredTable(spark, str(tmp_path / "hot"), str(tmp_path / "cold"), "t")
+    assert table.tier(NOON) == 0
+    assert table.purge(NOON) == 0
+
+
+def test_of_two_appends_at_a_time_the_loser_touches_nothing(spark, tmp_path):
+    table = TieredTable(spark, str(tmp_path / "hot"), str(tmp_path / "cold"), "t")
+    one = spark.createDataFrame([(NOON, 1)], "t timestamp_ntz, v int")
+    table.append(one)
+    stale = table._versions.read()
+    table.append(one)
+    table._versions.read = lambda: stale
+    with pytest.raises(Exception):
+        table.append(one.withColumn("v", F.lit(9)))
+    again = TieredTable(spark, str(tmp_path / "hot"), str(tmp_path / "cold"), "t")
+    assert [r.v for r in again.read().collect()] == [1, 1]
+
+
 def test_retention_and_split(spark):
     df = spark.createDataFrame([(at(days=-d), d) for d in (0, 6, 7, 8)], "t timestamp_ntz, d int")
     assert sorted(r.d for r in within_retention(df, "t").collect()) == [0, 6, 7]
@@ -224,6 +275,19 @@ def test_incremental_copy(spark, tmp_path):
     assert ingest.read_copy(spark, str(tmp_path / "jdbc-a")).count() == 100
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "decimal(12,2)", "string"])
+def test_incremental_copy_by_other_ids(spark, tmp_path, kind):
+    day = F.date_add(F.lit("2024-01-01"), F.col("id").cast("int"))
+    source = spark.range(90).select((F.col("id") / 4 if kind[:3] == "dec" else day).cast(kind).alias("k"))
+    target = str(tmp_path / "copy")
+    top = source.agg(F.max("k")).first()[0]
+    assert ingest.incremental_copy(source.limit(50), "k", target) < top
+    assert ingest.incremental_copy(source, "k", target) == top
+    assert ingest.incremental_copy(source, "k", target) == top
+    assert bag(ingest.read_copy(spark, target)) == bag(source)
+    assert len([p for p in (tmp_path / "copy").iterdir() if p.name.startswith("_run=")]) == 2
+
+
 def test_incremental_copy_filters_in_the_source(spark, tmp_path):
     source = str(tmp_path / "source")
     spark.range(100).write.parquet(source)
@@ -316,6 +380,18 @@ def test_keyed_frames_on_the_wire(spark):
     assert content(decode_upsert(frames, schema)) == [("b", NOON, 3)]
 
 
+def test_keyed_frames_as_changes(spark, table):
+    df = rows(spark, ("a", NOON, 1), ("a", NOON, None, True), ("b", NOON, 2), ("b", NOON, 3))
+    frames = encode_upsert(df.withColumn("n", F.monotonically_increasing_id()), ["k", "t"], "n")
+    schema = T.StructType([f for f in df.schema if f.name != DELETED])
+    changes = decode_changes(frames, ["k", "t"], schema)
+    assert [(r.k, r.t, r.v, r[DELETED]) for r in changes.filter("k = 'a'").orderBy("offset").collect()] == [
+        ("a", NOON, 1, False), ("a", NOON, None, True)
+    ]
+    table.upsert(changes, 0, ["offset"])
+    assert content(table.latest()) == [("b", NOON, 3)]
+
+
 def test_folder_of_json(spark, tmp_path):
     folder = tmp_path / "raw"
     folder.mkdir()

@@ -44,13 +44,14 @@ from wardline.session import prepare, shared_dir
 from wardline.sources import ingest
 from wardline.sources.json_topics import (
     decode_append,
+    decode_changes,
     decode_upsert,
     encode_append,
     encode_upsert,
     read_json_folder,
 )
 from wardline.sources.tiered import TieredTable
-from wardline.sources.upsert import UpsertTable, bucket_of
+from wardline.sources.upsert import UpsertTable, bucket_of, writer_of
 from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
 from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
 from wardline.vitals import CODES, WATERMARK
@@ -315,12 +316,12 @@ def _(spark, sf):
 
 @query("routed_folders")
 def _(spark, sf):
-    """Written by vital sign, then one folder read back."""
+    """Written by vital sign, one folder each, and all six read back."""
     path = shared_dir(spark, "routed")
     rows = route_together(_enriched(spark, sf), clocks.routing())
     rows.write.partitionBy("measurement_type").parquet(path)
     back = spark.read.schema(rows.schema).parquet(path)
-    return back.filter(F.col("measurement_type") == "HEART_RATE").select(*ROUTED.names)
+    return back.select("measurement_type", *ROUTED.names)
 
 
 @query("scored_topics")
@@ -355,6 +356,35 @@ def _(spark, sf):
     return decode_upsert(frames, type(log.schema)(fields))
 
 
+@query("upsert_topic_stream")
+def _(spark, sf):
+    """The same topic as a stream into a keyed table, its second half by a second run."""
+    path = shared_dir(spark, "frames")
+    log = keyed_changes(spark, sf)
+    fields = [f for f in log.schema if f.name not in ("_deleted", "position")]
+    schema = type(log.schema)(fields)
+    frames = encode_upsert(log, ["customer"], "position")
+    table = UpsertTable(spark, f"{path}/table", ["customer"])
+    half = frames.agg((F.max("offset") / 2).cast("bigint").alias("half")).first()["half"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changes = decode_changes(batch, ["customer"], schema)
+        table.upsert(changes, batch_id, ["offset"], writer_of(batch))
+
+    for part in (frames.filter(F.col("offset") <= half), frames.filter(F.col("offset") > half)):
+        part.write.mode("append").parquet(f"{path}/topic")
+        (
+            spark.readStream.schema(frames.schema)
+            .parquet(f"{path}/topic")
+            .writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(**UNTIL_DONE)
+            .start()
+            .awaitTermination()
+        )
+    return table.latest().drop("offset")
+
+
 @query("totals_topic")
 def _(spark, sf):
     """The totals through their keyed topic: every row written twice, the last one counts."""
@@ -416,10 +446,34 @@ def _(spark, sf):
 @query("stored_table_by_day")
 def _(spark, sf):
     """The stored table after upsert and compaction by day and bucket."""
+    return _compacted(spark, sf).latest()
+
+
+def _compacted(spark: SparkSession, sf: str) -> UpsertTable:
     table = stored_table_at(spark, shared_dir(spark, "stored"), null_key="drop")
     table.upsert(_stored(spark, sf), 0)
     table.compact()
-    return table.latest()
+    return table
+
+
+@query("served_half_hour_one_patient")
+def _(spark, sf):
+    """A trend out of the stored table: one bucket of it is read."""
+    mine = _compacted(spark, sf).latest(PATIENT)
+    rows = serve.half_hour_mean(mine, "heart_rate_value", PATIENT, True)
+    return rows.withColumn("mean", F.round("mean", 10))
+
+
+@query("served_patients")
+def _(spark, sf):
+    return serve.patients(_compacted(spark, sf).latest())
+
+
+@query("served_stage_latency")
+def _(spark, sf):
+    rows = serve.stage_latency(_compacted(spark, sf).latest())
+    return rows.select(*(F.round(c, 9).alias(c) for c in rows.columns))
+
 
 
 def _stream(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -694,6 +748,32 @@ def _(spark, sf):
     )
 
 
+def _event_table(spark: SparkSession, sf: str) -> UpsertTable:
+    """Events by id and day, half of them still in the change log."""
+    path = shared_dir(spark, "by-day")
+    table = UpsertTable(spark, path, ["event_id", "ts"], buckets=2, day_column="ts")
+    rows = _events(spark, sf)
+    odd = F.col("event_id") % 2 == 1
+    table.upsert(rows.filter(odd), 0)
+    table.compact()
+    table.upsert(rows.filter(~odd), 1)
+    return table
+
+
+@query("stored_days")
+def _(spark, sf):
+    """Five days of a keyed table: folders of other days are not read."""
+    return _event_table(spark, sf).latest(days=(dt.date(2024, 1, 10), dt.date(2024, 1, 14)))
+
+
+@query("stored_retention")
+def _(spark, sf):
+    """A keyed table after the days before the 15th were let go."""
+    table = _event_table(spark, sf)
+    table.retain(dt.date(2024, 1, 15))
+    return table.latest()
+
+
 @query("tiered_table")
 def _(spark, sf):
     """Two appends, two moves and a purge; every remaining row with the place it is in."""

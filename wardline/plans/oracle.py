@@ -322,6 +322,15 @@ FROM stored WHERE patient_id = '{PATIENT}' {only} GROUP BY ALL""",
         )
         + " FROM stored",
     )
+    for name, of in (
+        ("served_half_hour_one_patient", "half_hour_one_patient"),
+        ("served_patients", "distinct_patients"),
+        ("served_stage_latency", "stage_latency_avg"),
+    ):
+        # The stored table takes no rows without a patient.
+        sql[name] = sql[of].replace(
+            "FROM stored", "FROM (SELECT * FROM stored WHERE patient_id IS NOT NULL) AS kept"
+        )
     sql["latency_max"] = _from(
         "stored",
         """SELECT max(date_sub('second', ingestion_timestamp, aggregation_timestamp))
@@ -346,11 +355,12 @@ def _tables() -> dict[str, str]:
         "enriched_topic": _from("enriched", "SELECT * FROM enriched"),
         "routed_folders": _from(
             "scored",
-            f"SELECT {_ROUTED_COLUMNS} FROM scored WHERE measurement_type = 'HEART_RATE'",
+            f"SELECT measurement_type, {_ROUTED_COLUMNS} FROM scored",
         ),
         "scored_topics": scored,
         "scored_folders": scored,
         "upsert_topic": _CUSTOMERS,
+        "upsert_topic_stream": _CUSTOMERS,
         "totals_topic": _from("totals", "SELECT * FROM totals WHERE patient_id IS NOT NULL"),
         "upsert_latest": _CUSTOMERS,
         "unique_key_compact": _CUSTOMERS,
@@ -359,6 +369,10 @@ WHERE customer = (SELECT max(customer) FROM ({_CUSTOMERS}) AS d)""",
         "upsert_two_writers": """SELECT o_custkey AS customer, o_orderkey AS order_key,
   o_totalprice AS price, o_orderdate::TIMESTAMP AS ordered_at FROM orders""",
         "stored_table_by_day": _ALL_STORED,
+        "stored_days": """SELECT event_id, ts, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15'""",
+        "stored_retention": """SELECT event_id, ts, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-15'""",
         "upsert_auto_create": """SELECT o_custkey AS customer, max(o_orderkey) AS order_key,
   arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""",
         "stream_tumble_final": _ALL_STORED,

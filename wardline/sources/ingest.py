@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,38 +14,45 @@ from pyspark.sql import types as T
 from wardline.sources.versions import Versions
 
 
-def incremental_copy(source: DataFrame, id_column: str, target: str) -> int | None:
+def incremental_copy(source: DataFrame, id_column: str, target: str) -> Any:
     """Copy the rows whose strictly increasing id lies above what was copied before.
 
     The filter reaches the source (Parquet or JDBC). Rows and new high-water mark become valid
-    in one commit, so a copy that stops half-way is simply done again. Gives the high-water
-    mark, or None if nothing was ever copied.
+    in one commit, so a copy that stops half-way is simply done again; of two copies at a time
+    one fails. The id may be a number, date, time or text. Gives the high-water mark, or None
+    if nothing was ever copied.
     """
     spark = source.sparkSession
     versions = Versions(spark, target)
     version, state = versions.read()
-    mark = state.get("high_water")
-    fresh = source if mark is None else source.filter(F.col(id_column) > F.lit(mark))
-    folder = f"{target.rstrip('/')}/_run={version + 1}"
-    fresh.write.mode("overwrite").parquet(folder)
+    kind = source.schema[id_column].dataType
+    fresh = source
+    if state:
+        mark = F.lit(state["high_water"]).cast(kind)
+        fresh = source.filter(F.col(id_column) > mark)
+    run = uuid.uuid4().hex
+    folder = f"{target.rstrip('/')}/_run={run}"
+    fresh.write.parquet(folder)
     # Taken from what was written: the source may have grown since.
-    highest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(id_column)).first()[0]
-    if highest is None:
-        return mark
+    copied = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(id_column).alias("top"))
+    highest = copied.select("top", F.col("top").cast("string").alias("text")).first()
+    if highest["top"] is None:
+        versions.delete(folder)
+        return spark.range(1).select(mark).first()[0] if state else None
     versions.commit(
         version,
         {
-            "high_water": highest,
-            "runs": [*state.get("runs", []), version + 1],
+            "high_water": highest["text"],
+            "runs": [*state.get("runs", []), run],
             "schema": fresh.schema.jsonValue(),
         },
     )
-    return highest
+    return highest["top"]
 
 
 def copy_tables(
     sources: Mapping[str, DataFrame], id_columns: Mapping[str, str], root: str, prefix: str = ""
-) -> dict[str, int | None]:
+) -> dict[str, Any]:
     """Incremental copies of several tables, each below ``root`` under a prefixed name."""
     return {
         name: incremental_copy(df, id_columns[name], f"{root.rstrip('/')}/{prefix}{name}")

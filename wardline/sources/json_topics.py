@@ -110,17 +110,37 @@ def decode_upsert(frames: DataFrame, schema: T.StructType) -> DataFrame:
     """
     last = latest_per_key(frames.select("key", "value", "offset"), ["key"], ["offset"])
     alive = last.filter(F.col("value").isNotNull())
-    rows = alive.select(
-        F.from_json(F.col("value").cast("string"), _wire(schema), {"mode": "FAILFAST"}).alias("row")
-    )
-    return rows.select(
-        *(
-            _read_time(F.col(f"row.{f.name}"), f.dataType).alias(f.name)
-            if f.dataType.typeName() in _TIMES
-            else F.col(f"row.{f.name}").alias(f.name)
-            for f in schema
-        )
+    return alive.select(_parsed("value", schema).alias("row")).select(*_fields("row", schema))
+
+
+def decode_changes(frames: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Every frame of a keyed topic as a change: the columns of ``schema``, ``_deleted``, ``offset``.
+
+    A null value deletes its key, whose columns come from the frame's key. Row by row, so it works
+    on streams; ``UpsertTable.upsert`` takes the changes, ordered by ``offset``.
+    """
+    of_key = T.StructType([f for f in schema if f.name in keys])
+    rest = T.StructType([f for f in schema if f.name not in keys])
+    rows = frames.select(
+        _parsed("key", of_key).alias("of_key"),
+        _parsed("value", rest).alias("row"),
+        F.col("value").isNull().alias(DELETED),
+        "offset",
     )
+    return rows.select(*_fields("of_key", of_key), *_fields("row", rest), DELETED, "offset")
+
+
+def _parsed(column: str, schema: T.StructType) -> Column:
+    return F.from_json(F.col(column).cast("string"), _wire(schema), {"mode": "FAILFAST"})
+
+
+def _fields(row: str, schema: T.StructType) -> list[Column]:
+    return [
+        _read_time(F.col(f"{row}.{f.name}"), f.dataType).alias(f.name)
+        if f.dataType.typeName() in _TIMES
+        else F.col(f"{row}.{f.name}").alias(f.name)
+        for f in schema
+    ]
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, start: str = "latest") -> DataFrame:
@@ -137,6 +157,18 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, start: str = "late
     )
 
 
+def read_kafka_so_far(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """The frames a Kafka topic holds now, as a batch. Needs Spark's Kafka package on the class path."""
+    return (
+        spark.read.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
+        .option("endingOffsets", "latest")
+        .load()
+    )
+
+
 def write_kafka(frames: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
     """Send a stream of frames to Kafka; frames without a key go to any partition.
 

@@ -1,12 +1,13 @@
 """A table that moves its older rows to a second, cheaper place and still reads as one.
 
-Rows live in numbered folders below ``hot`` and ``cold``; the state file says which count. Each
+Rows live in folders with random names below ``hot`` and ``cold``; the state file says which count. Each
 move is one commit, so the two places never overlap and never miss a row, whenever a job stops.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,11 @@ class TieredTable:
         self.places = {"hot": hot.rstrip("/"), "cold": cold.rstrip("/")}
         self._versions = Versions(spark, hot)
 
-    def _write(self, rows: DataFrame, place: str, number: int) -> dict[str, Any]:
-        """Write a run and describe it: its number and the range of its times."""
-        folder = f"{self.places[place]}/{_RUN}={number}"
-        rows.write.mode("overwrite").parquet(folder)
+    def _write(self, rows: DataFrame, place: str) -> dict[str, Any]:
+        """Write a run and describe it: its name and the range of its times."""
+        run = uuid.uuid4().hex
+        folder = f"{self.places[place]}/{_RUN}={run}"
+        rows.write.parquet(folder)
         times = self.spark.read.schema(rows.schema).parquet(folder).select(
             F.col(self.ts).cast("timestamp_ntz").alias("t")
         )
@@ -37,7 +39,7 @@ class TieredTable:
             F.min("t").alias("first"), F.max("t").alias("last"), F.count_if(F.col("t").isNull()).alias("n")
         ).first()
         return {
-            "run": number,
+            "run": run,
             "first": found["first"] and found["first"].isoformat(),
             "last": found["last"] and found["last"].isoformat(),
             "untimed": found["n"] > 0,
@@ -56,7 +58,7 @@ class TieredTable:
     def append(self, rows: DataFrame) -> int:
         """Add rows to the hot place; gives the new version."""
         version, state = self._versions.read()
-        run = self._write(rows, "hot", version + 1)
+        run = self._write(rows, "hot")
         new = {
             "hot": [*state.get("hot", []), run],
             "cold": state.get("cold", []),
@@ -71,14 +73,14 @@ class TieredTable:
     def tier(self, older_than: dt.datetime) -> int:
         """Move rows from before a time to the cold place; gives the runs taken apart."""
         version, state = self._versions.read()
-        taken, mixed, rest = _sorted_by_age(state["hot"], older_than)
+        taken, mixed, rest = _sorted_by_age(state.get("hot", []), older_than)
         if not taken:
             return 0
         old = self._before(older_than)
-        cold = self._write(self._rows(state, "hot", taken).filter(old), "cold", version + 1)
+        cold = self._write(self._rows(state, "hot", taken).filter(old), "cold")
         if mixed:
             kept = self._rows(state, "hot", mixed).filter(~old)
-            rest = [*rest, self._write(kept, "hot", version + 1)]
+            rest = [*rest, self._write(kept, "hot")]
         self._versions.commit(version, {**state, "hot": rest, "cold": [*state["cold"], cold]})
         return len(taken)
 
@@ -87,11 +89,11 @@ class TieredTable:
         version, state = self._versions.read()
         new, touched = dict(state), 0
         for place in self.places:
-            taken, mixed, rest = _sorted_by_age(state[place], before)
+            taken, mixed, rest = _sorted_by_age(state.get(place, []), before)
             touched += len(taken)
             if mixed:
                 kept = self._rows(state, place, mixed).filter(~self._before(before))
-                rest = [*rest, self._write(kept, place, version + 1)]
+                rest = [*rest, self._write(kept, place)]
             new[place] = rest
         if touched:
             self._versions.commit(version, new)
@@ -118,7 +120,7 @@ class TieredTable:
             for place, path in self.places.items()
             for folder in self._versions.folders(path)
             if folder.rsplit("/", 1)[1].startswith(f"{_RUN}=")
-            and int(folder.rsplit("=", 1)[1]) not in [r["run"] for r in state.get(place, [])]
+            and folder.rsplit("=", 1)[1] not in [r["run"] for r in state.get(place, [])]
         ]
         for folder in gone:
             self._versions.delete(folder)

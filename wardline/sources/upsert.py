@@ -13,6 +13,7 @@ Writers only add folders, so readers of an older state are never disturbed until
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
@@ -39,7 +40,7 @@ class UpsertTable:
     """Rows by key, last write wins.
 
     ``day_column``, one of the keys, splits the merged rows by date as well, so that compaction rewrites only
-    the days that changed and retention drops whole folders. ``null_key`` says what happens
+    the days that changed, ``retain`` drops whole folders and ``latest`` reads only the days asked for. ``null_key`` says what happens
     to a row without a full key: ``"error"`` stops the write, ``"drop"`` leaves the row out.
 
     Keys, buckets and day column are stored with the first batch; opening the table with others raises.
@@ -226,31 +227,37 @@ class UpsertTable:
         rows = self._changes({**state, "batches": same})
         return rows.filter(~F.col(DELETED)).drop(DELETED, _BATCH)
 
-    def latest(self, first_key: Any = None) -> DataFrame:
+    def latest(self, first_key: Any = None, days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
         """The table as of now; with a value for the first key, only its bucket is read.
 
+        ``days``, the first and the last one wanted, leaves out the folders of all others.
         Only the keys of recent changes take part in the merge: the base is unique already,
         so it needs no aggregation, and Spark broadcasts the changed keys if they are small.
         """
         _, state = self._read()
         recent = self._changes(state)
-        if first_key is None:
-            base = self._base(state)
-        else:
-            here = F.col(self.keys[0]) == first_key
-            base = self._base(state, self._folders_of(state, first_key))
-            base = None if base is None else base.filter(here)
-            recent = recent.filter(here)
-        return self._merged(state, base, recent)
-
-    def _folders_of(self, state: dict[str, Any], first_key: Any) -> list[str]:
-        """The folders of the one bucket that can hold a key; the others are not even listed."""
+        parts = list(state.get("base", {}))
+        wanted = F.lit(True)
+        if first_key is not None:
+            parts = self._in_bucket(state, parts, first_key)
+            wanted = wanted & (F.col(self.keys[0]) == first_key)
+        if days is not None:
+            if self.day_column is None:
+                raise ValueError("the table is not laid out by day")
+            first, last = (d.isoformat() for d in days)
+            parts = [p for p in parts if first <= _day_of(p) <= last]
+            wanted = wanted & F.to_date(self.day_column).between(*map(F.lit, days))
+        base = self._base(state, parts)
+        return self._merged(state, None if base is None else base.filter(wanted), recent.filter(wanted))
+
+    def _in_bucket(self, state: dict[str, Any], parts: Sequence[str], first_key: Any) -> list[str]:
+        """Those of the folders that are of the one bucket that can hold a key."""
         # Hashes depend on the type: 5 as an int is another bucket than 5 as a bigint.
         kind = self._schema(state)[self.keys[0]].dataType
         typed = F.lit(first_key).cast(kind)
         one = self.spark.range(1).select(bucket_of(typed, self.buckets).alias("b"))
         suffix = f"/_bucket={one.first()['b']}"
-        return [p for p in state.get("base", {}) if p.endswith(suffix)]
+        return [p for p in parts if p.endswith(suffix)]
 
     def _same_keys(self, state: dict[str, Any], rows: DataFrame) -> DataFrame:
         """The table's rows that have a key of ``rows``."""
@@ -321,6 +328,21 @@ class UpsertTable:
         self._versions.commit(version, {**state, "base": base, "batches": []})
         return len(touched)
 
+    def retain(self, since: dt.date) -> int:
+        """Let go of the days before ``since``: compacts, then drops their folders unread.
+
+        Gives the number of folders. Rows of such days that come later stay until the next time.
+        """
+        if self.day_column is None:
+            raise ValueError("the table is not laid out by day")
+        self.compact()
+        version, state = self._read()
+        kept = {p: v for p, v in state["base"].items() if _day_of(p) >= since.isoformat()}
+        gone = len(state["base"]) - len(kept)
+        if gone:
+            self._versions.commit(version, {**state, "base": kept})
+        return gone
+
     def vacuum(self) -> list[str]:
         """Delete folders the newest state does not name; readers must be on that state."""
         _, state = self._read()
@@ -346,6 +368,10 @@ def writer_of(rows: DataFrame) -> str:
     return name
 
 
+def _day_of(part: str) -> str:
+    return part.split("/", 1)[0].removeprefix(f"{_DAY}=")
+
+
 def _folder(day: Any, bucket: int) -> str:
     name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
     return f"_day={name}/_bucket={bucket}"
