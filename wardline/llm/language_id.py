@@ -176,13 +176,20 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
 
 
 def recognised(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language; ``und`` rows go."""
+    """The rows of ``docs``, all columns as they are, that ``predict`` gives a language: the same decoding.
+
+    ``und`` rows go. Ambiguous ones stay: clean texts are among them. If no language was
+    learned, nothing can be told and all rows stay.
+    """
+    if not model.languages:
+        return docs
+    known = np.array([name != UNKNOWN for name in model.languages])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            _, some = gram_counts(as_text(batch.column(text)))
-            if model.languages and some.any():
-                yield batch.filter(pa.array(some))
+            counts, some = gram_counts(as_text(batch.column(text)))
+            best, _, _ = decode(model, counts)
+            yield batch.filter(pa.array(some & known[best]))
 
     return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
 
