@@ -47,12 +47,20 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
+# The key to its END line; where there is none, its PEM headers and base64 lines. Breaks may be escaped.
+_BREAK = r"(?:\s|\\[nr])"
+_KEY = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:(?>(?:[^-]|-(?!----(?:BEGIN|END) ))*)-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    rf"|(?:{_BREAK}*(?:Proc-Type|DEK-Info): ?[\w,-]+)*"
+    rf"(?:(?:{_BREAK}+[A-Za-z0-9+/]{{24,}}={{0,2}})+(?:(?:[\r\n]|\\[nr])+[A-Za-z0-9+/]+={{0,2}}(?=\s*?(?:[\r\n\"']|\\[nr]|\Z)))?)?)"
+)
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _KEY),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{0,30}://[^\s/:@]{1,256}:[^\s/@]{1,256}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,30}://[^\s/:@]+:[^\s/@]+@"),
 )
 RULES = BASE + MORE
 
