@@ -99,11 +99,12 @@ def _query_bags(queries: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     picked = queries.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("key is not null")
+    picked = picked.distinct()
     return written(arrow_map(picked, run, "key long, n long, terms binary, counts binary"), "queries")
 
 
 def _query_block(rows: list) -> Queries:
-    rows = sorted(rows, key=lambda r: r["key"])
+    rows = sorted(rows, key=lambda r: (r["key"], r["terms"], r["counts"]))
     term = np.concatenate([np.frombuffer(r["terms"], "<u8") for r in rows])
     times = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows])
     query = np.repeat(np.arange(len(rows)), [r["n"] for r in rows])
@@ -233,7 +234,11 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id
     Words are runs of ASCII letters, folded, digits and all other characters beyond ASCII; a word
     counts as often as the query has it. Scores are rounded to 9 digits, ties go to the smaller
     document id, null ids last. Documents that share no word with the query are no hits; queries with
-    null ids are left out, and those without words have no hits. Query ids should be distinct.
+    null ids are left out, and those without words have no hits.
+
+    Repeated rows: a query row that repeats, id and text, is one query. Queries that share an id but
+    not a text each have ranks from 1 below that id. A document row that repeats counts, and is a
+    hit, as often as it stands in the index.
     """
     bags = _query_bags(queries, key, text)
     total = index.agg(F.sum("n"), F.sum("words")).first()
@@ -253,7 +258,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return index.sparkSession.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    window = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+    window = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "doc_id", "score")
 
@@ -276,10 +281,11 @@ def _search_block(index: DataFrame, block: Queries, k: int, mean: float) -> Data
         q, rank = np.nonzero(best)
         name = names[q, rank]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(queries.ids[q]), pa.array(name, mask=name == _LAST), pa.array(best[q, rank])], ["query_id", "doc_id", "score"]
+            [pa.array(queries.ids[q]), pa.array(q), pa.array(name, mask=name == _LAST), pa.array(best[q, rank])],
+            ["query_id", "query", "doc_id", "score"],
         )
 
-    return arrow_map(index, run, "query_id long, doc_id long, score double")
+    return arrow_map(index, run, "query_id long, query long, doc_id long, score double")
 
 
 def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
