@@ -10,6 +10,7 @@ from wardline.llm.bm25 import op3_bm25_search
 from wardline.llm.chat import OP7_SQL, op7_chat_format
 from wardline.llm.decontaminate import op4_decontaminate
 from wardline.llm.huffman import op10_huffman_files
+from wardline.llm.importance import OP11_SQL, op11_importance_resample
 from wardline.llm.kneser_ney import op9_lm_score
 from wardline.llm.language_id import op6_language_id
 from wardline.llm.packing import op1_pack
@@ -30,8 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_lm_score,
         op10_huffman_files,
+        op11_importance_resample,
     )
 }
 
 #: The others need a tokenizer, a hash or a search that SQL does not have; the tests hold them against plain Python.
-SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL, "op7_chat_format": OP7_SQL}
+SQL: dict[str, str] = {
+    "op5_substring_dedup": OP5_SQL,
+    "op7_chat_format": OP7_SQL,
+    "op11_importance_resample": OP11_SQL,
+}
