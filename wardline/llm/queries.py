@@ -14,6 +14,7 @@ from wardline.llm.importance import OP11_SQL, op11_importance_resample
 from wardline.llm.kneser_ney import op9_lm_score
 from wardline.llm.language_id import op6_language_id
 from wardline.llm.packing import op1_pack
+from wardline.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from wardline.llm.secrets import op2_secret_scan
 from wardline.llm.simhash import op8_simhash_near_dedup
 from wardline.llm.substring_dedup import OP5_SQL, op5_substring_dedup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_score,
         op10_huffman_files,
         op11_importance_resample,
+        op12_prefix_trie,
     )
 }
 
@@ -40,4 +42,5 @@ SQL: dict[str, str] = {
     "op5_substring_dedup": OP5_SQL,
     "op7_chat_format": OP7_SQL,
     "op11_importance_resample": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
