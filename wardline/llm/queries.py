@@ -10,6 +10,7 @@ from wardline.llm.bm25 import op3_bm25_search
 from wardline.llm.chat import OP7_SQL, op7_chat_format
 from wardline.llm.decontaminate import op4_decontaminate
 from wardline.llm.huffman import op10_huffman_files
+from wardline.llm.hyperminhash import OP13_SQL, op13_hyperminhash
 from wardline.llm.importance import OP11_SQL, op11_importance_resample
 from wardline.llm.kneser_ney import op9_lm_score
 from wardline.llm.language_id import op6_language_id
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_huffman_files,
         op11_importance_resample,
         op12_prefix_trie,
+        op13_hyperminhash,
     )
 }
 
@@ -43,4 +45,5 @@ SQL: dict[str, str] = {
     "op7_chat_format": OP7_SQL,
     "op11_importance_resample": OP11_SQL,
     "op12_prefix_trie": OP12_SQL,
+    "op13_hyperminhash": OP13_SQL,
 }
