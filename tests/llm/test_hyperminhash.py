@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from wardline.llm import hyperminhash
-from wardline.llm.hyperminhash import accidents, bands, estimated, registers, shingle_set, similar_groups
+from wardline.llm.hyperminhash import accidents, band_shape, bands, estimated, registers, shingle_set, similar_groups
 
 SCHEMA = "doc_id long, text string, n int, same string, `group` double"
 
@@ -64,7 +64,6 @@ def test_same_as_all_pairs(spark, monkeypatch, width, percent, block):
     docs = spark.createDataFrame([(k, t, 5, "own", 0.5) for k, t in rows], SCHEMA)
     got = similar_groups(docs, width=width, percent=percent)
     assert got.columns == ["doc_id", "n", "group"]
-    # at 60 bands leave out some 2 in a hundred pairs, so only families of many pairs are looked at there
     assert sorted(map(tuple, got.collect()), key=str) == plain_groups(rows, width, percent)
 
 
@@ -106,12 +105,15 @@ def test_registers_and_bands():
     assert np.flatnonzero(one).tolist() == [3] and one[3] == ((5 + 1) << 10) | 0b1100000001
     zero = registers(np.array([7 << 56], np.uint64))
     assert zero[7] == 57 << 10
-    assert len(set(bands(one).tolist())) == hyperminhash.BANDS
+    assert band_shape(80) == (47, 5) and band_shape(60) == (76, 3)
+    with pytest.raises(ValueError):
+        band_shape(1)
+    assert len(set(bands(one, 47, 5).tolist())) == 47
     # a set and its superset of one more agree in a band of five with 0.8 ** 5
     rng = np.random.default_rng(4)
     agreed = []
     for _ in range(200):
         a = np.unique(rng.integers(0, 1 << 64, 5, np.uint64))
-        agreed.append((bands(registers(a)) == bands(registers(a[:4]))).mean())
+        agreed.append((bands(registers(a), 47, 5) == bands(registers(a[:4]), 47, 5)).mean())
     assert abs(np.mean(agreed) - 0.8**5) < 0.04
     assert len(shingle_set(b"a b a b a", 2)) == 2

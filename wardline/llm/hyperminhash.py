@@ -9,11 +9,13 @@ five standard errors below the limit go; all others are decided by their two set
 
 Equal sets are one node. In a band every node first meets the smallest one; nodes that share a band and are not
 in one group after that meet the most similar node of another group, and at last all of other groups.
-At a similarity s a band joins with a chance of s^ROWS: BANDS bands leave out 5 in a billion pairs at 0.8.
+At a similarity s a band of r registers joins with a chance of s^r. As many bands are used as leave out MISSED of
+the pairs at the limit: 47 of 5 registers at 0.8.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,8 @@ from wardline.llm.common import arrow_map, as_bytes, mixed, rolling, slices, tab
 from wardline.llm.components import connected
 
 REGISTERS, MANTISSA = 256, 10
-BANDS, ROWS = 48, 5
+#: The share of pairs at the limit that no band joins.
+MISSED = 1e-8
 #: Nodes of a band that a task compares with as many others at once.
 BLOCK = 2048
 #: Standard errors that an estimate may lie below the limit.
@@ -33,8 +36,17 @@ ERRORS = 5.0
 _RNG = np.random.default_rng(13)
 #: For each register the order in which full ones stand in for it.
 _TURN = np.argsort(_RNG.random((REGISTERS, REGISTERS)), axis=1).astype(np.int16)
-_WEIGHTS = _RNG.integers(0, 1 << 63, ROWS, np.uint64) | np.uint64(1)
-_BAND = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+_WEIGHTS = _RNG.integers(0, 1 << 63, REGISTERS, np.uint64) | np.uint64(1)
+_BAND = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64))
+
+
+def band_shape(percent: int) -> tuple[int, int]:
+    """The longest bands, and their number, that miss no more than MISSED; raises if there are too few registers."""
+    for rows in range(8, 0, -1):
+        number = math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** rows)))
+        if rows * number <= REGISTERS:
+            return number, rows
+    raise ValueError(f"{REGISTERS} registers cannot tell a similarity of {percent} %")
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -63,15 +75,15 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def bands(found: np.ndarray) -> np.ndarray:
+def bands(found: np.ndarray, number: int, rows: int) -> np.ndarray:
     """A hash of each band, empty registers filled."""
     full = np.flatnonzero(found)
     if len(full) < REGISTERS:
         stand_in = full[_TURN[:, full].argmin(axis=1)]
         found = np.where(found > 0, found, found[stand_in])
-    rows = found[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
+    values = found[: number * rows].reshape(number, rows).astype(np.uint64)
     with np.errstate(over="ignore"):
-        return mixed((rows * _WEIGHTS).sum(axis=1, dtype=np.uint64) + _BAND)
+        return mixed((values * _WEIGHTS[:rows]).sum(axis=1, dtype=np.uint64) + _BAND[:number])
 
 
 def accidents(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -125,14 +137,14 @@ def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return arrow_map(picked, run, f"key {kind}, text_hash long, n long, same long, registers binary")
 
 
-def _banded(nodes: DataFrame) -> DataFrame:
-    """``(same, band)``, BANDS rows a node."""
+def _banded(nodes: DataFrame, number: int, rows: int) -> DataFrame:
+    """``(same, band)``, a row for each band of a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                found = np.concatenate([bands(r) for r in _rows_of(batch.column("registers"))])
-                same = np.repeat(batch.column("same").to_numpy(), BANDS)
+                found = np.concatenate([bands(r, number, rows) for r in _rows_of(batch.column("registers"))])
+                same = np.repeat(batch.column("same").to_numpy(), number)
                 yield pa.RecordBatch.from_pydict({"same": same, "band": found.view(np.int64)})
 
     return arrow_map(nodes.select("same", "registers"), run, "same long, band long")
@@ -282,7 +294,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     nodes = written(nodes, "hmh-nodes")
     # below this size only equal sets are similar enough
     able = nodes.where(F.col("n") * 100 >= percent * (F.col("n") + 1))
-    banded = written(_banded(able), "hmh-bands")
+    banded = written(_banded(able, *band_shape(percent)), "hmh-bands")
     shared = banded.groupBy("band").agg(F.min("same").alias("low"), F.count("*").alias("__n")).where("__n > 1")
     members = written(banded.join(shared.select("band", "low"), "band"), "hmh-members")
     links = _links(
