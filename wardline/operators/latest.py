@@ -35,8 +35,14 @@ def apply_cdc(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     ``before``, that of anything else from ``after``.
     """
     fields = changes.schema["after"].dataType.names
+    return latest_per_key(cdc_rows(changes, order), keys, order, DELETED).select(*fields)
+
+
+def cdc_rows(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Change events as rows with ``_deleted`` and the order columns, one by one; works on streams."""
+    fields = changes.schema["after"].dataType.names
     gone = F.col("op") == "d"
-    flat = changes.select(
+    return changes.select(
         *(
             F.when(gone, F.col(f"before.{c}")).otherwise(F.col(f"after.{c}")).alias(c)
             for c in fields
@@ -44,4 +50,3 @@ def apply_cdc(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         gone.alias(DELETED),
         *order,
     )
-    return latest_per_key(flat, keys, order, DELETED).select(*fields)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardline import functions as X
 from wardline.operators import lifecycle, metrics, serve
 from wardline.operators.enrich import enrich, split_bad
-from wardline.operators.latest import apply_cdc
+from wardline.operators.latest import apply_cdc, cdc_rows
 from wardline.operators.route import route_together, route_vital
 from wardline.operators.score import (
     score_all,
@@ -41,7 +41,7 @@ from wardline.schemas import (
     TOTALS,
 )
 from wardline.session import prepare, shared_dir
-from wardline.sources import ingest
+from wardline.sources import folders, ingest
 from wardline.sources.json_topics import (
     decode_append,
     decode_changes,
@@ -50,9 +50,11 @@ from wardline.sources.json_topics import (
     encode_upsert,
     read_json_folder,
 )
+from wardline.sources.partitioned import BATCH, PartitionedTable
 from wardline.sources.tiered import TieredTable
 from wardline.sources.upsert import UpsertTable, bucket_of, writer_of
 from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
+from wardline.streaming.partitioned import partitioned_at, start_partitioned
 from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
 from wardline.vitals import CODES, WATERMARK
 
@@ -502,6 +504,83 @@ def _(spark, sf):
     return table.latest()
 
 
+# -- partitioned tables --------------------------------------------------------------------
+
+
+def _run_twice_or_more(
+    spark: SparkSession, path: str, parts: Sequence[DataFrame], write: Callable[[DataFrame, int], None]
+) -> None:
+    """Each part arrives while the stream is down; a new run of the stream takes it in."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{path}/arrivals")
+        (
+            spark.readStream.schema(part.schema)
+            .parquet(f"{path}/arrivals")
+            .writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(**UNTIL_DONE)
+            .start()
+            .awaitTermination()
+        )
+
+
+@query("overwrite_latest")
+def _(spark, sf):
+    """The change log by customer as a stream, its newer half first: the older half changes nothing newer."""
+    path = shared_dir(spark, "overwrite")
+    log = keyed_changes(spark, sf)
+    schema = log.drop("_deleted", "position").schema
+    table = PartitionedTable(spark, f"{path}/table", schema, ["customer"], ["position"])
+    half = log.agg((F.max("position") / 2).cast("bigint").alias("half")).first()["half"]
+    parts = [log.filter(F.col("position") > half), log.filter(F.col("position") <= half)]
+    _run_twice_or_more(spark, path, parts, table.writer())
+    return table.read()
+
+
+@query("overwrite_replayed")
+def _(spark, sf):
+    """The stored table by day and bucket: early totals, then final ones, whose batch dies half-way and comes again."""
+    table = partitioned_at(spark, shared_dir(spark, "overwrite"), null_key="drop")
+    final = _stored(spark, sf).withColumn(BATCH, F.lit(1).cast("long"))
+    early = final.withColumn("news2_score", F.lit(-1.0)).withColumn(BATCH, F.lit(0).cast("long"))
+    table.write(early, 0)
+    table.write(final, 1)
+    # as if the job had ended after a folder was removed and before its new rows were in place
+    folders.delete(spark, f"{table.rows_path}/{folders.names(spark, table.rows_path)[-1]}")
+    table.write(final, 1)
+    return table.read()
+
+
+@query("overwrite_stream_final")
+def _(spark, sf):
+    """The fused stream over JSON files into partitioned folders, which each batch replaces whole."""
+    path = shared_dir(spark, "overwrite")
+    raw_readings(spark, sf).repartition(6).write.json(f"{path}/raw")
+    table = partitioned_at(spark, f"{path}/table", null_key="drop")
+    start_partitioned(
+        read_json_folder(spark, f"{path}/raw", files_per_batch=2),
+        table,
+        f"{path}/checkpoint",
+        lateness="60 days",
+        trigger=UNTIL_DONE,
+        at=fixed_clocks(),
+    ).awaitTermination()
+    return table.read()
+
+
+@query("cdc_out_of_order")
+def _(spark, sf):
+    """Change events on a stream in three runs: the snapshot, then the deletions, then the older updates."""
+    path = shared_dir(spark, "changes")
+    log = customer_changes(spark, sf)
+    table = PartitionedTable(
+        spark, f"{path}/table", log.schema["after"].dataType, ["c_custkey"], ["seq"], forget_after=1000
+    )
+    parts = [log.filter(F.col("seq") == n) for n in (0, 2, 1)]
+    _run_twice_or_more(spark, path, parts, table.writer(lambda rows: cdc_rows(rows, ["seq"])))
+    return table.read().withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
 # -- streams -------------------------------------------------------------------------------
 
 

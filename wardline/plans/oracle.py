@@ -348,6 +348,11 @@ _CUSTOMERS = """SELECT customer, order_key, price, ordered_at FROM (
   FROM orders) WHERE place = 1 AND status <> 'F'"""
 
 
+_CDC = """SELECT c_custkey, c_name,
+  round(CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 100 ELSE c_acctbal END, 2) AS c_acctbal,
+  c_mktsegment FROM customer WHERE c_custkey % 7 <> 0"""
+
+
 def _tables() -> dict[str, str]:
     scored = _from("scored", f"SELECT measurement_type, {_SCORED_COLUMNS} FROM scored")
     return {
@@ -375,6 +380,9 @@ WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15'""",
 WHERE ts >= TIMESTAMP '2024-01-15'""",
         "upsert_auto_create": """SELECT o_custkey AS customer, max(o_orderkey) AS order_key,
   arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""",
+        "overwrite_latest": _CUSTOMERS,
+        "overwrite_replayed": _ALL_STORED,
+        "overwrite_stream_final": _ALL_STORED,
         "stream_tumble_final": _ALL_STORED,
         "stream_staged_final": _ALL_STORED,
         "stream_late_keep": _ALL_STORED,
@@ -397,9 +405,8 @@ FROM events""",
   CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'cold' ELSE 'hot' END AS tier
 FROM events WHERE ts >= TIMESTAMP '2024-01-05'""",
         "incremental_copy": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-        "cdc_apply": """SELECT c_custkey, c_name,
-  round(CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 100 ELSE c_acctbal END, 2) AS c_acctbal,
-  c_mktsegment FROM customer WHERE c_custkey % 7 <> 0""",
+        "cdc_out_of_order": _CDC,
+        "cdc_apply": _CDC,
         "mock_readings": _mock(),
     }
 
