@@ -145,6 +145,71 @@ def instant(
     return recent.groupBy(*series).agg(F.max_by("value", "ts").alias("value"))
 
 
+def instant_range(
+    samples: DataFrame,
+    series: Sequence[str],
+    step: str,
+    lookback: str = "5 minutes",
+    start: str | None = None,
+    end: str | None = None,
+    piece: int = 360,
+) -> DataFrame:
+    """The last value of each series at every step of a grid: ``<series>, eval_time, value``.
+
+    Steps are multiples of ``step`` since the epoch, from ``start`` to ``end`` where they are given (both included). At a
+    step counts the last sample at it or before, if it is younger than ``lookback``; of several at one time the largest.
+    A series without such a sample has no row there.
+
+    Only the last sample before each step matters, so samples combine to one per step before anything is
+    ordered. What is left of a series is worked through in pieces of ``piece`` steps; a piece hands its last sample on to
+    the steps before the next piece with a sample, so one busy series is many tasks' work.
+    """
+    micros, valid = window_seconds(step) * 1_000_000, window_seconds(lookback) * 1_000_000
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    known = samples.filter(F.col("value").isNotNull() & F.col("ts").isNotNull())
+    if end is not None:
+        known = known.filter(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
+    if start is not None:  # an older sample is stale at the first step
+        oldest = F.lit(start).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")
+        known = known.filter(F.col("ts") > oldest)
+    value = F.col("value").cast("double")
+    cells = (
+        known.select(*series, value.alias("value"), at.alias("_at"))
+        .withColumn("_first", F.ceil(F.col("_at") / micros) * micros)
+        .groupBy(*series, "_first")
+        .agg(F.max(F.struct("_at", "value")).alias("_last"))
+        .select(*series, "_first", "_last.*")
+        .withColumn("_piece", F.floor(F.col("_first") / (micros * piece)))
+    )
+    inside = Window.partitionBy(*series, "_piece").orderBy("_first")
+    along = Window.partitionBy(*series).orderBy("_piece")
+    # where the next piece with a sample begins
+    nexts = cells.groupBy(*series, "_piece").agg(F.min("_first").alias("_begins"))
+    nexts = nexts.withColumn("_handed", F.lead("_begins").over(along)).drop("_begins")
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"n.{c}")) for c in [*series, "_piece"]]
+    condition = same[0]
+    for one in same[1:]:
+        condition = condition & one
+    following = F.coalesce("_next", "_handed")
+    # the last step that is reached: one before the next sample's, and before the sample is stale
+    last = F.floor((F.col("_at") + valid - 1) / micros) * micros
+    last = F.least(last, F.coalesce(following - micros, last))
+    filled = (
+        cells.withColumn("_next", F.lead("_first").over(inside))
+        .alias("c")
+        .join(nexts.alias("n"), condition)
+        .select(*(F.col(f"c.{c}").alias(c) for c in series), "_first", "value", last.alias("_until"))
+        .filter("_first <= _until")
+        .select(*series, "value", F.explode(F.expr(f"sequence(_first, _until, {micros}L)")).alias("_step"))
+    )
+    grid = filled.select(*series, F.timestamp_micros("_step").cast("timestamp_ntz").alias("eval_time"), "value")
+    if start is not None:
+        grid = grid.filter(F.col("eval_time") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        grid = grid.filter(F.col("eval_time") <= F.lit(end).cast("timestamp_ntz"))
+    return grid
+
+
 def instant_per_window(samples: DataFrame, series: Sequence[str], window: str) -> DataFrame:
     """The last value of each series in each window: ``<series>, eval_time, value``."""
     return (

@@ -742,6 +742,21 @@ def _(spark, sf):
     return metrics.instant(_samples(spark, sf), SERIES, "2024-01-15 00:00:00", "5 days")
 
 
+@query("metric_instant_range")
+def _(spark, sf):
+    """The last values every ten minutes, none older than half an hour."""
+    return metrics.instant_range(_samples(spark, sf), SERIES, "10 minutes", "30 minutes", piece=6)
+
+
+@query("metric_instant_range_busy")
+def _(spark, sf):
+    """All samples as one series, in pieces of an hour, over ten days of the grid."""
+    samples = _samples(spark, sf).select(F.lit("all").alias("metric"), "ts", "value")
+    return metrics.instant_range(
+        samples, ["metric"], "1 minute", "5 minutes", "2024-01-05 00:00:00", "2024-01-15 00:00:00", piece=60
+    )
+
+
 @query("metric_select_regex")
 def _(spark, sf):
     rows = metrics.select_series(

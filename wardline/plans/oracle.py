@@ -473,6 +473,21 @@ WHERE place = 1 AND before IS NOT NULL""",
         "metric_instant": plain
         + f"""SELECT {series}, arg_max(value, ts) AS value FROM samples
 WHERE ts <= TIMESTAMP '2024-01-15' AND ts > TIMESTAMP '2024-01-15' - INTERVAL 5 DAYS GROUP BY ALL""",
+        "metric_instant_range": plain
+        + f""", grid AS (
+  SELECT DISTINCT {series}, time_bucket(INTERVAL 10 MINUTE, ts) + to_minutes(10 * unnest(range(5))) AS eval_time
+  FROM samples)
+SELECT {series}, eval_time, value FROM (
+  SELECT {series}, g.eval_time, arg_max(s.value, (s.ts, s.value)) AS value
+  FROM grid g JOIN (SELECT {series}, ts, value FROM samples) s USING ({series})
+  WHERE s.ts <= g.eval_time AND s.ts > g.eval_time - INTERVAL 30 MINUTE
+  GROUP BY {series}, g.eval_time)""",
+        "metric_instant_range_busy": plain
+        + """, grid AS (
+  SELECT unnest(generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-15', INTERVAL 1 MINUTE)) AS eval_time),
+kept AS (SELECT ts, max(value) AS value FROM samples GROUP BY ts)
+SELECT 'all' AS metric, eval_time, value
+FROM grid ASOF JOIN kept ON grid.eval_time >= kept.ts WHERE kept.ts > eval_time - INTERVAL 5 MINUTE""",
         "metric_select_regex": plain
         + f"""SELECT {series}, count(*) AS n, max(value) AS max_value FROM samples
 WHERE env = 'e1' AND (metric LIKE 'c%' OR metric LIKE 'v%') AND instance IN ('i0', 'i2')
