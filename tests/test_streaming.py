@@ -20,7 +20,6 @@ from wardline.streaming.pipeline import (
     stored_table_at,
     sums_table_at,
 )
-from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
 
 AT = fixed_clocks
 
@@ -175,47 +174,6 @@ def test_staged_equals_batch(spark, tmp_path, file_format):
     assert bag(staged.stored.latest()) == batch_result(spark, readings)
 
 
-def run_ttl(spark, root, ttl_ms, batches, pause=0.0):
-    """The batches one after another, each followed by a pause, in one query."""
-    from wardline.operators.totals import load_typed, totals
-
-    os.makedirs(f"{root}/raw")
-    table = stored_table_at(spark, f"{root}/table", null_key="drop")
-    with ttl_settings(spark):
-        scored = scored_readings(read_json_folder(spark, f"{root}/raw"), AT())
-        clocks = AT()
-        wide = tumble_pivot_ttl(scored, ttl_ms, clock=clocks.union)
-        final = load_typed(totals(wide, clocks.aggregation), clocks.storage)
-        query = (
-            final.writeStream.outputMode("update")
-            .foreachBatch(table.writer())
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .start()
-        )
-        try:
-            for batch in batches:
-                write_files(spark, f"{root}/raw", [batch])
-                query.processAllAvailable()
-                time.sleep(pause)
-        finally:
-            query.stop()
-    return table
-
-
-def test_state_that_lives_equals_the_batch(spark, tmp_path):
-    readings = some_readings()
-    table = run_ttl(spark, str(tmp_path), 300_000, [readings[0::2], readings[1::2]])
-    assert bag(table.latest()) == batch_result(spark, readings)
-
-
-def test_expired_state_starts_afresh(spark, tmp_path):
-    first = reading(value="140", when=at(seconds=1))
-    second = reading(value="60", when=at(seconds=2))
-    table = run_ttl(spark, str(tmp_path), 1_500, [[first], [second]], pause=3.0)
-    row = table.latest().first()
-    assert (row.heart_rate_value, row.heart_rate_score) == (60.0, 0.0)
-
-
 def test_fused_stream_equals_batch_on_test_tables(spark, sf_dir):
     final = CATALOG["stream_tumble_final"](spark, sf_dir)
     batch = stored_table(raw_readings(spark, sf_dir), AT()).filter("patient_id IS NOT NULL")
@@ -280,15 +238,3 @@ def test_stages_run_side_by_side(spark, tmp_path):
     finally:
         for query in queries:
             query.stop()
-
-
-def test_processor_needs_no_package_on_the_workers():
-    import subprocess
-    import sys
-
-    from pyspark import cloudpickle
-    from wardline.streaming.state_ttl import _Accumulate
-
-    code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read()); assert 'wardline' not in sys.modules"
-    data = cloudpickle.dumps(_Accumulate(1))
-    assert subprocess.run([sys.executable, "-c", code], input=data, cwd="/").returncode == 0

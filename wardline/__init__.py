@@ -40,7 +40,6 @@ from wardline.sources.ingest import copy_tables, incremental_copy, mock_readings
 from wardline.sources.tiered import TieredTable
 from wardline.sources.upsert import UpsertTable
 from wardline.streaming.pipeline import Staged, start_fused
-from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
 
 __all__ = [
     "Clocks",
@@ -83,9 +82,7 @@ __all__ = [
     "tier_split",
     "topk",
     "totals",
-    "ttl_settings",
     "tumble_pivot",
-    "tumble_pivot_ttl",
     "union_scores",
     "vector_add",
     "with_risk",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import half_hour, whole_seconds
 
-# Trend panels: name, column, and whether only positive values count.
+# Fixed values. Trend panels: name, column, and whether only positive values count.
 TRENDS: dict[str, tuple[str, bool]] = {
     "news2": ("news2_score", False),
     "trust": ("news2_trust_score", False),
@@ -72,8 +72,8 @@ def patients(final: DataFrame) -> DataFrame:
     return final.select("patient_id").distinct().orderBy("patient_id")
 
 
-# Latency of each hop: name, from, to.
-_HOPS = (
+# Fixed values. Latency of each hop: name, from, to.
+HOPS = (
     ("overall", "ingestion", "aggregation"),
     ("enrichment", "ingestion", "enrichment"),
     ("routing", "enrichment", "routing"),
@@ -90,7 +90,7 @@ def stage_latency(final: DataFrame) -> DataFrame:
             F.avg(whole_seconds(f"{start}_timestamp", f"{end}_timestamp")).alias(
                 f"avg_{name}_latency"
             )
-            for name, start, end in _HOPS
+            for name, start, end in HOPS
         )
     )
 

@@ -68,15 +68,15 @@ def window_sums(scored: DataFrame, window: str = WINDOW) -> DataFrame:
     )
 
 
-def merge_sums(sums: DataFrame) -> DataFrame:
-    """Several ``window_sums`` rows of a patient and window into one."""
+def merge_sums(sums: DataFrame, *beside: Column) -> DataFrame:
+    """Several ``window_sums`` rows of a patient and window into one; ``beside``: further aggregates."""
     merged = []
     for vital in VITALS:
         name = vital.prefix
         merged += [f"max({name}_{part}) AS {name}_{part}" for part in ("value", "points")]
         merged += [f"sum({name}_{part}) AS {name}_{part}" for part in ("sum", "n")]
     merged += [f"min({stage}_first) AS {stage}_first" for stage in _STAGES]
-    return sums.groupBy("patient_id", "window_start", "window_end").agg(*map(F.expr, merged))
+    return sums.groupBy("patient_id", "window_start", "window_end").agg(*map(F.expr, merged), *beside)
 
 
 def finish_window(sums: DataFrame, clock: Column | None = None) -> DataFrame:

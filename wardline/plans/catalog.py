@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline import functions as X
@@ -49,13 +49,15 @@ from wardline.sources.json_topics import (
     encode_append,
     encode_upsert,
     read_json_folder,
+    without_repeats,
 )
 from wardline.sources.partitioned import BATCH, PartitionedTable
 from wardline.sources.tiered import TieredTable
 from wardline.sources.upsert import UpsertTable, bucket_of, writer_of
 from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
+from wardline.streaming.observed import BatchMeasures
 from wardline.streaming.partitioned import partitioned_at, start_partitioned
-from wardline.streaming.state_ttl import ttl_settings, tumble_pivot_ttl
+from wardline.streaming.sums import TTL, final_of, start_sums, sums_at
 from wardline.vitals import CODES, WATERMARK
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -675,24 +677,81 @@ def _(spark, sf):
 
 @query("stream_ttl")
 def _(spark, sf):
-    """Windows kept with a state lifetime, which one batch does not outlive."""
-    path = shared_dir(spark, "ttl")
-    scored = scored_readings(_event_stream(spark, sf), fixed_clocks())
-    final = load_typed(
-        totals(tumble_pivot_ttl(scored, clock=clocks.union()), clocks.aggregation()),
-        clocks.storage(),
+    """Sums with a lifetime of five minutes: a fifth of the readings comes within it, a quarter after it.
+
+    Windows that get readings after the lifetime start afresh with them; all others keep what they have.
+    """
+    path, second = shared_dir(spark, "ttl"), F.second("measurement_timestamp") % 20
+    raw, table = raw_readings(spark, sf), sums_at(spark, f"{path}/table", null_key="drop")
+    _sums_in_runs(
+        spark, path, [raw.filter(~second.isin(5, 10)), raw.filter(second == 10), raw.filter(second == 5)], table,
+        clock=lambda batch: dt.datetime(2024, 3, 1, 12) + dt.timedelta(minutes=(0, 4, 20)[batch]), lifetime=TTL,
+    )
+    return final_of(table, fixed_clocks())
+
+
+def _sums_in_runs(spark, path, parts, table, within=None, **options):
+    """Each part arrives while the stream is down."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{path}/raw")
+        stream = spark.readStream.schema(part.schema).parquet(f"{path}/raw")
+        if within is not None:
+            stream = without_repeats(stream, within)
+        start_sums(
+            stream, table, f"{path}/checkpoint", trigger=UNTIL_DONE, at=fixed_clocks(), **options
+        ).awaitTermination()
+
+
+@query("stream_sums_final")
+def _(spark, sf):
+    """The final table out of stored sums, a quarter of the readings late: none is lost and none counted twice."""
+    path, late = shared_dir(spark, "sums"), F.second("measurement_timestamp") % 20 == 5
+    raw, table = raw_readings(spark, sf), sums_at(spark, f"{path}/table", null_key="drop")
+    _sums_in_runs(spark, path, [raw.filter(~late), raw.filter(late)], table)
+    return final_of(table, fixed_clocks())
+
+
+@query("stream_duplicates")
+def _(spark, sf):
+    """Readings sent again, in the same run and in the next one: each counts once.
+
+    The second half by record time comes with all readings of the last day of the first half once more.
+    """
+    path = shared_dir(spark, "repeats")
+    raw, table = raw_readings(spark, sf), sums_at(spark, f"{path}/table", null_key="drop")
+    sent = F.col("ingestion_timestamp")
+    ends = raw.agg(F.min(sent).alias("low"), F.max(sent).alias("high")).first()
+    middle = ends["low"] + (ends["high"] - ends["low"]) / 2
+    first, rest = raw.filter(sent <= F.lit(middle)), raw.filter(sent > F.lit(middle))
+    again = first.filter(sent > F.lit(middle - dt.timedelta(hours=23)))
+    _sums_in_runs(spark, path, [first.unionAll(again), rest.unionAll(again)], table, within="24 hours")
+    return final_of(table, fixed_clocks())
+
+
+@query("stream_observed")
+def _(spark, sf):
+    """What each batch of the fused stream reports of itself: rows, and mean and longest latency of each hop."""
+    path, measures = shared_dir(spark, "observed"), BatchMeasures()
+    raw, odd = raw_readings(spark, sf), F.minute("measurement_timestamp") % 2
+    table = partitioned_at(spark, f"{path}/table", null_key="drop")
+    spark.streams.addListener(measures)
+    try:
+        for part in (0, 1):
+            raw.filter(odd == part).write.mode("append").json(f"{path}/raw")
+            start_partitioned(
+                read_json_folder(spark, f"{path}/raw"), table, f"{path}/checkpoint",
+                lateness="60 days", trigger=UNTIL_DONE, at=fixed_clocks(),
+            ).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        rows = measures.table(spark)
+    finally:
+        spark.streams.removeListener(measures)
+    order = Window.orderBy("batch_id")  # one row a batch
+    rows = rows.withColumn("odd_minute", (F.row_number().over(order) - 1).cast("long"))
+    hops = [c for c in rows.columns if c.endswith("_latency")]
+    return rows.select(
+        "odd_minute", "n_rows", *(F.round(c, 9).alias(c) if c.startswith("avg") else F.col(c) for c in hops)
     )
-    table = stored_table_at(spark, f"{path}/table", null_key="drop")
-    with ttl_settings(spark):
-        (
-            final.writeStream.outputMode("update")
-            .foreachBatch(table.writer())
-            .option("checkpointLocation", f"{path}/checkpoint")
-            .trigger(**UNTIL_DONE)
-            .start()
-            .awaitTermination()
-        )
-    return table.latest()
 
 
 # -- metrics -------------------------------------------------------------------------------

@@ -91,6 +91,18 @@ raw AS (
       WHERE second(measurement_timestamp) % 20 <> 5 AND measurement_type <> 'BODY_WEIGHT'))"""
 )
 
+# Windows that get readings after the lifetime of their sums have only those.
+_AFRESH = (
+    _CLEAN.replace("raw AS (", "clean AS (", 1)
+    + """,
+marked AS (
+  SELECT *, coalesce(bool_or(second(measurement_timestamp) % 20 = 5 AND measurement_type <> 'BODY_WEIGHT') OVER (
+    PARTITION BY regexp_extract(device_id, '.*_(P\\d+)$', 1), date_trunc('minute', measurement_timestamp)), FALSE) AS anew
+  FROM clean),
+raw AS (
+  SELECT * EXCLUDE (anew) FROM marked WHERE NOT anew OR second(measurement_timestamp) % 20 = 5)"""
+)
+
 _FACTORS = """factors AS (
   SELECT *,
     CAST(raw_value AS DOUBLE) AS value,
@@ -278,6 +290,17 @@ FROM stored GROUP BY patient_id""",
     return sql
 
 
+# Latency of each hop, from and to.
+_HOPS = (
+    ("overall", "ingestion", "aggregation"),
+    ("enrichment", "ingestion", "enrichment"),
+    ("routing", "enrichment", "routing"),
+    ("scoring", "routing", "scoring"),
+    ("union", "scoring", "union"),
+    ("aggregation", "union", "aggregation"),
+)
+
+
 def _serving() -> dict[str, str]:
     sql = {}
     means = []
@@ -305,20 +328,12 @@ FROM stored GROUP BY patient_id, {_BUCKET}""",
 FROM stored WHERE patient_id = '{PATIENT}' {only} GROUP BY ALL""",
         )
     sql["distinct_patients"] = _from("stored", "SELECT DISTINCT patient_id FROM stored")
-    hops = (
-        ("overall", "ingestion", "aggregation"),
-        ("enrichment", "ingestion", "enrichment"),
-        ("routing", "enrichment", "routing"),
-        ("scoring", "routing", "scoring"),
-        ("union", "scoring", "union"),
-        ("aggregation", "union", "aggregation"),
-    )
     sql["stage_latency_avg"] = _from(
         "stored",
         "SELECT "
         + ", ".join(
             f"round(avg(date_sub('second', {a}_timestamp, {b}_timestamp)), 9) AS avg_{n}_latency"
-            for n, a, b in hops
+            for n, a, b in _HOPS
         )
         + " FROM stored",
     )
@@ -341,6 +356,18 @@ FROM stored""",
     return sql
 
 
+_OBSERVED = _from(
+    "totals",
+    "SELECT minute(window_start) % 2 AS odd_minute, count(*) AS n_rows, "
+    + ", ".join(
+        f"round(avg(date_sub('second', {a}_timestamp, {b}_timestamp)), 9) AS avg_{n}_latency, "
+        f"max(date_sub('second', {a}_timestamp, {b}_timestamp)) AS max_{n}_latency"
+        for n, a, b in _HOPS
+    )
+    + " FROM totals GROUP BY ALL",
+)
+
+
 _CUSTOMERS = """SELECT customer, order_key, price, ordered_at FROM (
   SELECT o_custkey AS customer, o_orderkey AS order_key, o_totalprice AS price,
     CAST(o_orderdate AS TIMESTAMP) AS ordered_at, o_orderstatus AS status,
@@ -395,7 +422,12 @@ FROM judged WHERE problem IS NOT NULL OR NOT regexp_matches(device_id, '_P[0-9]+
         "stream_quarantine_good": _from(
             "stored", "SELECT * FROM stored WHERE patient_id IS NOT NULL", _GOOD
         ),
-        "stream_ttl": _ALL_STORED,
+        "stream_ttl": _from(
+            "stored", "SELECT * FROM stored WHERE patient_id IS NOT NULL", _AFRESH
+        ),
+        "stream_sums_final": _ALL_STORED,
+        "stream_duplicates": _ALL_STORED,
+        "stream_observed": _OBSERVED,
         "retention_7d": """SELECT event_id, ts, value FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS""",
         "tier_split": """SELECT event_id, ts, value,

@@ -229,6 +229,28 @@ def read_json_folder(
     )
 
 
+#: What a reading is known by, however often it is sent.
+RECORD_ID = ("device_id", "measurement_timestamp", "measurement_type", "raw_value")
+
+
+def without_repeats(
+    rows: DataFrame, within: str, record_id: Sequence[str] = RECORD_ID, record_time: str = "ingestion_timestamp"
+) -> DataFrame:
+    """Each record once, though an at-least-once producer sent it again.
+
+    On a stream a record is remembered until the newest record time is ``within`` past its own, and rows that
+    come later than that are dropped; so state is what arrives in that time, and a repeat is known if it
+    comes within it. Which of the repeats stays is not fixed. On a batch all repeats go.
+    """
+    if not rows.isStreaming:
+        return rows.dropDuplicates(list(record_id))
+    kind = rows.schema[record_time].dataType
+    timed = rows.withColumn("_record_time", F.col(record_time).cast("timestamp")).withWatermark("_record_time", within)
+    return timed.dropDuplicatesWithinWatermark(list(record_id)).select(
+        *(F.col(c).cast(kind).alias(c) if c == record_time else c for c in rows.columns)
+    )
+
+
 def topic_layout(df: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
     """Deal rows out to a fixed number of partitions, in no order; for small topics only."""
     return df.repartition(partitions)

@@ -93,7 +93,12 @@ class PartitionedTable:
         """
         pending = f"{self.path}/pending/{batch_id:012d}"
         if not folders.exists(self.spark, f"{pending}/_SUCCESS"):
-            self._merged(self._placed(rows), combine).write.mode("overwrite").parquet(pending)
+            # looked at for its folders and for its rows, so kept: a stream's batch is to run once
+            fresh = self._placed(rows).persist()
+            try:
+                self._merged(fresh, combine).write.mode("overwrite").parquet(pending)
+            finally:
+                fresh.unpersist()
         (
             self.spark.read.schema(self._full)
             .parquet(pending)

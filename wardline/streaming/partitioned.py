@@ -11,6 +11,7 @@ from wardline.operators.totals import load_typed
 from wardline.plans.pipeline import Clocks, early_warning
 from wardline.schemas import STORED, STORED_KEY
 from wardline.sources.partitioned import PartitionedTable
+from wardline.streaming.observed import observed
 from wardline.streaming.pipeline import EVERY_MINUTE, LATENESS
 from wardline.vitals import BUCKETS
 
@@ -35,10 +36,10 @@ def start_partitioned(
     """All stages in one query; a window's totals replace those of earlier batches.
 
     Windows are state until ``lateness`` behind the newest reading; rows for older ones are dropped. A batch
-    replaces the folders of the days and buckets its windows lie in.
+    replaces the folders of the days and buckets its windows lie in. ``BatchMeasures`` sees each batch's hops.
     """
     return (
-        early_warning(raw, at, lateness=lateness)
+        observed(early_warning(raw, at, lateness=lateness))
         .writeStream.outputMode("update")
         .foreachBatch(table.writer(lambda rows: load_typed(rows, at.storage)))
         .option("checkpointLocation", checkpoint)
