@@ -236,6 +236,28 @@ def sum_without(vector: DataFrame, drop: Sequence[str]) -> DataFrame:
     return aggregate_by(vector, "sum", [c for c in vector.columns if c not in {*drop, "value"}])
 
 
+def aggregate_sets(vector: DataFrame, how: str, sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Several aggregates by label at once: one scan, one exchange, a row per set and its labels.
+
+    ``panel`` names the set; labels that a set does not have are null there. A label that is null in the
+    vector forms a group of its own, as in ``aggregate_by``.
+    """
+    labels = list(dict.fromkeys(c for by in sets.values() for c in by))
+    value = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}[how]
+    grouped = vector.groupingSets([[F.col(c) for c in by] for by in sets.values()], *labels)
+    found = grouped.agg(value("value").alias("value"), F.grouping_id(*labels).alias("_set"))
+    # the set as Spark numbers it: a bit for each label that is left out, the first label's highest
+    numbers = {
+        name: sum(1 << (len(labels) - 1 - i) for i, c in enumerate(labels) if c not in by) for name, by in sets.items()
+    }
+    if len(set(numbers.values())) < len(numbers):
+        raise ValueError("two sets have the same labels")
+    panel = F.lit(None).cast("string")
+    for name, number in numbers.items():
+        panel = F.when(F.col("_set") == number, F.lit(name)).otherwise(panel)
+    return found.select(panel.alias("panel"), *labels, "value")
+
+
 def scaled(vector: DataFrame, factor: float) -> DataFrame:
     """Multiply every value by a number."""
     return vector.withColumn("value", F.col("value") * F.lit(factor))

@@ -42,6 +42,7 @@ from wardline.schemas import (
 )
 from wardline.session import prepare, shared_dir
 from wardline.sources import folders, ingest
+from wardline.sources.bucketed import file_bucket, new_name, save_bucketed
 from wardline.sources.json_topics import (
     decode_append,
     decode_changes,
@@ -52,11 +53,13 @@ from wardline.sources.json_topics import (
     without_repeats,
 )
 from wardline.sources.partitioned import BATCH, PartitionedTable
+from wardline.sources.tier_days import TierDays
 from wardline.sources.tiered import TieredTable
 from wardline.sources.upsert import UpsertTable, bucket_of, writer_of
 from wardline.streaming.pipeline import UNTIL_DONE, Staged, start_fused, stored_table_at
 from wardline.streaming.observed import BatchMeasures
 from wardline.streaming.partitioned import partitioned_at, start_partitioned
+from wardline.streaming.rollup import rollup_at, start_rollup, trends_of
 from wardline.streaming.sums import TTL, final_of, start_sums, sums_at
 from wardline.vitals import CODES, WATERMARK
 
@@ -583,6 +586,65 @@ def _(spark, sf):
     return table.read().withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
+@query("tiered_by_day")
+def _(spark, sf):
+    """Two appends, two moves, late rows of a cold day and a purge; every remaining row with its place."""
+    rows = _events(spark, sf)
+    table = TierDays(spark, shared_dir(spark, "tiers"), rows.schema, "ts")
+    late = F.col("event_id") % 10 == 3
+    table.append(rows.filter(~late & (F.col("ts") < F.lit(dt.datetime(2024, 1, 15)))))
+    table.append(rows.filter(~late & (F.col("ts") >= F.lit(dt.datetime(2024, 1, 15)))))
+    table.move(dt.date(2024, 1, 10))
+    table.append(rows.filter(late))
+    table.move(dt.date(2024, 1, 20))
+    table.purge(dt.date(2024, 1, 5))
+    return table.read(tier=True)
+
+
+@query("bucketed_half_hour")
+def _(spark, sf):
+    """All trends out of a table hashed by patient: no exchange."""
+    rows = serve.half_hour_all(_bucketed(spark, sf))
+    return rows.select("patient_id", "time_window", *(F.round(c, 10).alias(c) for c in serve.TRENDS))
+
+
+@query("bucketed_one_patient")
+def _(spark, sf):
+    """A trend of one patient: one bucket of the table is read."""
+    mine = _bucketed(spark, sf).filter(F.col("patient_id") == PATIENT)
+    rows = serve.half_hour_mean(mine, "heart_rate_value", positive_only=True)
+    return rows.select("time_window", F.round("mean", 10).alias("mean"))
+
+
+@query("bucketed_files")
+def _(spark, sf):
+    """Rows per patient, and whether all lie in files of the bucket that the hash of the patient says."""
+    rows = _bucketed(spark, sf).select("patient_id", file_bucket().alias("bucket"))
+    right = F.col("bucket") == bucket_of(F.col("patient_id"))
+    return rows.groupBy("patient_id").agg(F.count("*").alias("n"), F.bool_and(right).alias("in_its_bucket"))
+
+
+def _bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "bucketed")
+    return save_bucketed(_stored(spark, sf), new_name(), "patient_id", sort_by=["window_start"], path=path)
+
+
+@query("rollup_half_hour")
+def _(spark, sf):
+    """All trends out of half-hour sums that the stream keeps; a quarter of the readings changes minutes once more."""
+    path, late = shared_dir(spark, "rollup"), F.second("measurement_timestamp") % 20 == 5
+    raw, minutes = raw_readings(spark, sf), partitioned_at(spark, f"{path}/minutes", null_key="drop")
+    rollup = rollup_at(spark, f"{path}/rollup", null_key="drop")
+    for part in (raw.filter(~late), raw.filter(late)):
+        part.write.mode("append").json(f"{path}/raw")
+        start_rollup(
+            read_json_folder(spark, f"{path}/raw"), minutes, rollup, f"{path}/checkpoint",
+            lateness="60 days", trigger=UNTIL_DONE, at=fixed_clocks(),
+        ).awaitTermination()
+    rows = trends_of(rollup.read())
+    return rows.select("patient_id", "time_window", *(F.round(c, 10).alias(c) for c in serve.TRENDS))
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -865,6 +927,18 @@ def _(spark, sf):
     return metrics.topk(summed, 10, ["eval_time"], ["metric", "instance"])
 
 
+@query("metric_panel_sets")
+def _(spark, sf):
+    """Four panels of a dashboard in one pass over the daily values."""
+    sets = {
+        "by metric": ["eval_time", "metric"],
+        "by instance": ["eval_time", "instance"],
+        "by metric and env": ["eval_time", "metric", "env"],
+        "all": ["eval_time"],
+    }
+    return _rounded(metrics.aggregate_sets(_daily(spark, sf), "sum", sets), 2)
+
+
 @query("metric_label_values")
 def _(spark, sf):
     return metrics.label_values(_samples(spark, sf), "instance", "click")

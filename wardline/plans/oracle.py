@@ -346,6 +346,13 @@ FROM stored WHERE patient_id = '{PATIENT}' {only} GROUP BY ALL""",
         sql[name] = sql[of].replace(
             "FROM stored", "FROM (SELECT * FROM stored WHERE patient_id IS NOT NULL) AS kept"
         )
+    kept = "FROM (SELECT * FROM stored WHERE patient_id IS NOT NULL) AS kept"
+    sql["rollup_half_hour"] = sql["half_hour_all_patients"].replace("FROM stored GROUP", f"{kept} GROUP")
+    sql["bucketed_half_hour"] = sql["half_hour_all_patients"]
+    sql["bucketed_one_patient"] = sql["half_hour_one_patient"]
+    sql["bucketed_files"] = _from(
+        "stored", "SELECT patient_id, count(*) AS n, TRUE AS in_its_bucket FROM stored GROUP BY patient_id"
+    )
     sql["latency_max"] = _from(
         "stored",
         """SELECT max(date_sub('second', ingestion_timestamp, aggregation_timestamp))
@@ -435,6 +442,9 @@ WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS""",
 FROM events""",
         "tiered_table": """SELECT event_id, ts, value,
   CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'cold' ELSE 'hot' END AS tier
+FROM events WHERE ts >= TIMESTAMP '2024-01-05'""",
+        "tiered_by_day": """SELECT event_id, ts, value,
+  CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'cold' ELSE 'hot' END AS tier
 FROM events WHERE ts >= TIMESTAMP '2024-01-05'""",
         "incremental_copy": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "cdc_out_of_order": _CDC,
@@ -543,6 +553,13 @@ USING (eval_time)""",
   SELECT *, row_number() OVER (PARTITION BY eval_time ORDER BY value DESC, metric, instance) AS place
   FROM (SELECT eval_time, metric, instance, round(sum(value), 2) AS value FROM daily GROUP BY ALL))
 WHERE place <= 10""",
+        "metric_panel_sets": daily
+        + """SELECT panel, eval_time, metric, instance, env, round(value, 2) AS value FROM (
+  SELECT 'by metric' AS panel, eval_time, metric, NULL::VARCHAR AS instance, NULL::VARCHAR AS env, sum(value) AS value
+  FROM daily GROUP BY eval_time, metric
+  UNION ALL SELECT 'by instance', eval_time, NULL, instance, NULL, sum(value) FROM daily GROUP BY eval_time, instance
+  UNION ALL SELECT 'by metric and env', eval_time, metric, NULL, env, sum(value) FROM daily GROUP BY eval_time, metric, env
+  UNION ALL SELECT 'all', eval_time, NULL, NULL, NULL, sum(value) FROM daily GROUP BY eval_time)""",
         "metric_label_values": plain
         + "SELECT DISTINCT instance AS label_value FROM samples WHERE metric = 'click'",
         "metric_range_reduce": plain
