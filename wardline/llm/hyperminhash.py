@@ -7,8 +7,9 @@ comes first in an order of its own, so that sets of any size agree in a register
 similarity. Candidates whose estimated similarity, corrected for registers that agree by accident, is
 five standard errors below the limit go; all others are decided by their two sets.
 
-Equal sets are one node. In a band every node first meets the smallest one; nodes that share a band and are not
-in one group after that meet the most similar node of another group, and at last all of other groups.
+Equal sets are one node. Plausible pairs are looked for first, by registers: in a band every node meets the smallest one,
+and where that leaves a band in several clusters, all nodes of different clusters meet. Then the sets of a cluster
+meet, once each. No pairs leave a task but those that connect what was not connected, so what travels grows with the nodes.
 At a similarity s a band of r registers joins with a chance of s^r. As many bands are used as leave out MISSED of
 the pairs at the limit: 47 of 5 registers at 0.8.
 """
@@ -16,10 +17,11 @@ the pairs at the limit: 47 of 5 registers at 0.8.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ from wardline.llm.components import connected
 REGISTERS, MANTISSA = 256, 10
 #: The share of pairs at the limit that no band joins.
 MISSED = 1e-8
-#: Nodes of a band that a task compares with as many others at once.
-BLOCK = 2048
+#: Nodes, and shingles, of a band or cluster that a task compares with as many others at once.
+BLOCK, SHINGLES = 2048, 1 << 20
 #: Standard errors that an estimate may lie below the limit.
 ERRORS = 5.0
 _RNG = np.random.default_rng(13)
@@ -181,78 +183,42 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -
     return arrow_map(rows.select("text"), run, "same long, grams array<long>").dropDuplicates(["same"])
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The ``(a, b)`` whose sets are similar enough: registers first, then the sets."""
-    pairs = written(_estimated_pairs(pairs, nodes, percent), "hmh-pairs")
-    if pairs.isEmpty():
-        return pairs
-    ends = pairs.select(F.col("a").alias("same")).union(pairs.select(F.col("b").alias("same"))).distinct()
-    wanted = ends.join(nodes, "same").select(F.col("row.key").alias("__key"), F.col("row.text_hash").alias("__hash"))
-    sets = written(_sets(docs, wanted, key, text, width), "hmh-sets")
-    first = sets.select(F.col("same").alias("a"), F.col("grams").alias("x"))
-    second = sets.select(F.col("same").alias("b"), F.col("grams").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    near = 100 * both >= percent * (F.size("x") + F.size("y") - both)
-    return written(pairs.join(second, "b").join(first, "a").where(near).select("a", "b"), "hmh-links")
+class _Forest:
+    """Which of a cell's nodes are connected, and the links that connect them: a forest, not all pairs.
 
+    ``near(x)`` compares a node with all others. Nodes that are connected with what is the largest tree
+    after some first comparisons need none of their own: any other node is compared with them.
+    """
 
-def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(band, same, root, n)`` of the bands that hold several groups; ``n`` counts the band's members."""
-    label = F.coalesce("root", "same").alias("root")
-    placed = members.join(roots, F.col("same") == F.col("node"), "left").select("band", "same", label)
-    several = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n"))
-    return written(placed.join(several.where("r != s").select("band", "n"), "band"), "hmh-open")
+    def __init__(self, same: np.ndarray, label: np.ndarray):
+        self.same, self.label = same, label.copy()
+        self.links: list[tuple[int, int]] = []
 
+    def _join(self, x: int, others: np.ndarray) -> None:
+        mine = self.label[x]
+        names, first = np.unique(self.label[others], return_index=True)
+        for y in others[first[names != mine]]:
+            self.links.append((int(self.same[x]), int(self.same[y])))
+        self.label[np.isin(self.label, names)] = mine
 
-def _across(placed: DataFrame, nodes: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Plausible pairs of one band and different groups; with ``best`` one for each node and block at most.
+    def grow(self, near: Callable[[int], np.ndarray], first: int = 8) -> None:
+        n = len(self.same)
+        for x in range(min(first, n)):
+            self._join(x, near(x))
+        names, counts = np.unique(self.label, return_counts=True)
+        trunk = int(np.flatnonzero(self.label == names[counts.argmax()])[0])
+        for x in range(first, n):
+            if self.label[x] != self.label[trunk]:
+                self._join(x, near(x))
 
-    A band's members are dealt out to blocks of about BLOCK, and each pair of blocks is one cell, so no task
-    holds a band; registers are compared there, and only plausible pairs leave.
-    """
-    blocks = F.ceil(F.col("n") / BLOCK)
-    mine = F.pmod(F.xxhash64("same"), blocks)
-    dealt = (
-        placed.select("band", "same", "root", blocks.alias("blocks"), mine.alias("mine"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .select(
-            "same", "root", "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine"
-        )
-        .join(nodes.select("same", F.col("n").alias("size"), "registers"), "same")
-        .repartition("band", "i", "j")
-        .sortWithinPartitions("band", "i", "j")
-    )
-    limit = percent / 100
+    def batch(self) -> Iterator[pa.RecordBatch]:
+        if self.links:
+            pairs = np.array(self.links, np.int64)
+            yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    def cell(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        same, root = rows.column("same").to_numpy(), rows.column("root").to_numpy()
-        size, found = rows.column("size").to_numpy(), _rows_of(rows.column("registers"))
-        i, j, mine = (rows.column(c).to_numpy() for c in ("i", "j", "mine"))
-        names, counts = np.unique(root, return_counts=True)
-        large = names[counts.argmax()]
-        if len(names) == 1:
-            return
-        ones, twos = [], []
-        # of two nodes in different groups one at least is outside the largest
-        for x in np.flatnonzero(root != large):
-            against = root != root[x]
-            if i[x] != j[x]:
-                against &= mine != mine[x]
-            against &= 100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])
-            at = np.flatnonzero(against)
-            if not len(at):
-                continue
-            estimate, used = estimated(found[at], found[x][None, :], size[at], np.full(len(at), size[x]))
-            near = _plausible(estimate, used, limit)
-            at = at[near]
-            if best and len(at):
-                at = at[[estimate[near].argmax()]]
-            ones += [same[x]] * len(at)
-            twos += same[at].tolist()
-        if ones:
-            pair = np.sort(np.array([ones, twos], np.int64), axis=0)
-            pair = np.unique(pair, axis=1)
-            yield pa.RecordBatch.from_pydict({"a": pair[0], "b": pair[1]})
+
+def _by_cell(dealt: DataFrame, marks: list[str], cell: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Run ``cell`` on the rows of each combination of ``marks``, which go to one task; gives links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -260,19 +226,90 @@ def _across(placed: DataFrame, nodes: DataFrame, percent: int, best: bool) -> Da
         for batch in batches:
             if not batch.num_rows:
                 continue
-            marks = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
-            cuts = [0, *(np.flatnonzero((np.diff(marks) != 0).any(axis=0)) + 1), batch.num_rows]
+            values = np.stack([batch.column(c).to_numpy() for c in marks])
+            cuts = [0, *(np.flatnonzero((np.diff(values) != 0).any(axis=0)) + 1), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
-                mark = marks[:, a].tolist()
+                mark = values[:, a].tolist()
                 if held and mark != current:
-                    yield from cell(pa.Table.from_batches(held))
+                    yield from cell(pa.Table.from_batches(held).combine_chunks())
                     held = []
                 current = mark
                 held.append(batch.slice(a, b - a))
         if held:
-            yield from cell(pa.Table.from_batches(held))
+            yield from cell(pa.Table.from_batches(held).combine_chunks())
+
+    return arrow_map(dealt.repartition(*marks).sortWithinPartitions(*marks), run, "a long, b long")
+
+
+def _celled(rows: DataFrame, group: str) -> DataFrame:
+    """Deal a group's rows out to ``blocks`` blocks, and every pair of blocks to a cell ``(group, i, j)``."""
+    mine = F.pmod(F.xxhash64("same"), F.col("blocks"))
+    others = F.expr("IF(blocks = 1, array(0L), filter(sequence(0L, blocks - 1), x -> x != mine))")
+    return (
+        rows.withColumn("mine", mine)
+        .withColumn("other", F.explode(others))
+        .withColumn("i", F.least("mine", "other"))
+        .withColumn("j", F.greatest("mine", "other"))
+        .drop("mine", "other", "blocks")
+    )
+
+
+def _open_bands(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``(band, same, root, blocks)`` of the bands that hold several clusters."""
+    label = F.coalesce("root", "same").alias("root")
+    placed = members.join(clusters, F.col("same") == F.col("node"), "left").select("band", "same", label)
+    several = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n"))
+    several = several.where("r != s").select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    return written(placed.join(several, "band"), "hmh-open")
+
+
+def _plausible_links(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links that connect all plausible pairs of a band, by registers alone."""
+    limit = percent / 100
+
+    def cell(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        size, found = rows.column("size").to_numpy(), _rows_of(rows.column("registers"))
+        forest = _Forest(rows.column("same").to_numpy(), rows.column("root").to_numpy())
+
+        def near(x: int) -> np.ndarray:
+            at = np.flatnonzero(100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
+            estimate, used = estimated(found[at], found[x][None, :], size[at], np.full(len(at), size[x]))
+            return at[_plausible(estimate, used, limit)]
 
-    return arrow_map(dealt, run, "a long, b long").distinct()
+        forest.grow(near)
+        yield from forest.batch()
+
+    dealt = _celled(placed, "band").join(nodes.select("same", F.col("n").alias("size"), "registers"), "same")
+    return _by_cell(dealt, ["band", "i", "j"], cell).distinct()
+
+
+def _verified_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Links that connect all pairs of a cluster whose sets are similar enough."""
+    sized = written(clusters.join(sets, F.col("node") == F.col("same")).select("root", "same", "grams"), "hmh-sets")
+    loads = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("load"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("load") / SHINGLES)).alias("blocks")
+
+    def cell(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        grams = rows.column("grams").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64))
+        begins = np.concatenate([[0], ends[:-1]])
+        size = ends - begins
+        _, ids = np.unique(grams.flatten().to_numpy(), return_inverse=True)
+        held = np.zeros(int(ids.max()) + 1, bool)
+        forest = _Forest(rows.column("same").to_numpy(), np.arange(len(size)))
+
+        def near(x: int) -> np.ndarray:
+            mine = ids[begins[x] : ends[x]]
+            held[mine] = True
+            both = np.add.reduceat(held[ids], begins, dtype=np.int64)
+            held[mine] = False
+            return np.flatnonzero(100 * both >= percent * (size + size[x] - both))
+
+        forest.grow(near)
+        yield from forest.batch()
+
+    dealt = _celled(sized.join(loads.select("root", blocks), "root"), "root")
+    return _by_cell(dealt, ["root", "i", "j"], cell).distinct()
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -297,19 +334,21 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     banded = written(_banded(able, *band_shape(percent)), "hmh-bands")
     shared = banded.groupBy("band").agg(F.min("same").alias("low"), F.count("*").alias("__n")).where("__n > 1")
     members = written(banded.join(shared.select("band", "low"), "band"), "hmh-members")
-    links = _links(
-        members.where("low != same").select(F.col("low").alias("a"), F.col("same").alias("b")).distinct(),
-        nodes, docs, key, text, width, percent,
-    )
+    star = members.where("low != same").select(F.col("low").alias("a"), F.col("same").alias("b")).distinct()
+    plausible = written(_estimated_pairs(star, nodes, percent), "hmh-plausible")
+    clusters = connected(plausible)
+    placed = _open_bands(members, clusters)
+    if not placed.isEmpty():
+        plausible = written(plausible.union(_plausible_links(placed, nodes, percent)), "hmh-plausible")
+        clusters = connected(plausible)
+    # the smallest node of a cluster has no row of its own
+    roots = clusters.select("root").distinct()
+    clusters = written(clusters.union(roots.select(F.col("root").alias("node"), "root")).distinct(), "hmh-clusters")
+    wanted = clusters.join(nodes, F.col("node") == F.col("same")).select(
+        F.col("row.key").alias("__key"), F.col("row.text_hash").alias("__hash")
+    )
+    links = _verified_links(_sets(docs, wanted, key, text, width), clusters, percent)
     roots = connected(links)
-    for best in (True, False):
-        placed = _placed(members, roots)
-        if placed.isEmpty():
-            break
-        more = _links(_across(placed, nodes, percent, best), nodes, docs, key, text, width, percent)
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = connected(links)
     label: Column = F.coalesce("root", "same").alias("root")
     rooted = nodes.select("same", "least").join(roots, F.col("same") == F.col("node"), "left").select("same", "least", label)
     named = rooted.groupBy("root").agg(F.min("least").alias("__group"))
