@@ -2,8 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from wardline.llm.near_copies import near_copies
+from wardline.llm.hyperminhash import similar_groups
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -14,7 +16,7 @@ def grams(text):
 
 
 def similar(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
+    return len(a & b) / len(a | b) if a | b else 0.0
 
 
 def made():
@@ -48,7 +50,10 @@ def test_groups(spark):
     assert sum(0.8 <= s < 0.95 for s in seen) > 50
     rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    assert {r.doc_id: r.group for r in near_copies(docs, "doc_id").collect()} == dict(enumerate(group))
+    assert {r.doc_id: r.group for r in similar_groups(docs, "doc_id").collect()} == dict(enumerate(group))
     kept = corpus_pipeline.near_dedup(spark, docs.union(docs.limit(5)), "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
-    assert near_copies(docs.limit(0), "doc_id").collect() == []
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []
+    clashing = docs.withColumn("__document", F.lit("own")).withColumn("key", F.lit(1)).withColumn("group", F.lit(2))
+    kept = corpus_pipeline.near_dedup(spark, clashing, "")
+    assert kept.columns == clashing.columns and {r["__document"] for r in kept.collect()} == {"own"}

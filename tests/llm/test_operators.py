@@ -69,9 +69,9 @@ def bag(df):
 def test_ids_are_the_tokenizers(name, lowers, kind):
     path, rng = public_tokenizers.path(name), random.Random(3)
     ids, whole = Ids(path, lowers, kind), Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     made = ["".join(rng.choice(" \n\t'aAéÉsztm.,!1ñ²́\x1cıſ ") for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     made += [t or "" for t in texts()] + ["<|endoftext|> it's", "日本 語!", "İ ΑΣ Σ"]
+    made += ["x <|endoftext|> y", "a<|startoftext|>b <|ENDOFTEXT|>\n\n c", "plain <|endoftext |> <| end"]
     expected = [e.ids for e in whole.encode_batch(made, add_special_tokens=False)]
     assert [np.frombuffer(ids.text(t), kind).tolist() for t in made] == expected
 

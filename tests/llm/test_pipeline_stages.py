@@ -2,10 +2,12 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from wardline.llm.common import table, written
-from wardline.llm.simhash import fingerprint
 from wardline.llm.decontaminate import words_of
+from tests.llm.test_near_copies import grams, similar
 
 
 def test_stages(spark, sf_dir):
@@ -21,11 +23,11 @@ def test_stages(spark, sf_dir):
     assert ids(kept) == sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in before if re.search(r"[^\W\d_]", r.text or ""))
     rows = kept.collect()
     kept = written(stages["SimHash near-dedup"](spark, kept, sf_dir), "b")
-    fps = [fingerprint(r.text.encode()) for r in rows]
+    sets = [grams(r.text) for r in rows]
     group = list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):
-            if (fps[a] ^ fps[b]).bit_count() <= 2:
+            if similar(sets[a], sets[b]) >= 0.8:
                 old, new = max(group[a], group[b]), min(group[a], group[b])
                 group = [new if g == old else g for g in group]
     first = {g: min(rows[i].doc_id for i in range(len(rows)) if group[i] == g) for g in set(group)}
@@ -53,3 +55,22 @@ def test_stages(spark, sf_dir):
     assert text[10**6].text == 'x [SECRET]" y' and text[10**6].n_chars == 13
     pieces = stages["packing"](spark, kept, sf_dir)
     assert {r.doc_id for r in pieces.collect()} == set(text)
+
+
+def test_clashing_and_missing_columns(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").drop("n_chars")
+    own = {"spans": "s", "items": "i", "n_words": "w", "__spans": "t", "__document": "d", "key": "k"}
+    for name, value in own.items():
+        docs = docs.withColumn(name, F.lit(value))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = written(stage(spark, docs, sf_dir), "clash")
+        assert kept.dtypes == docs.dtypes, name
+        assert {tuple(r[c] for c in own) for r in kept.collect()} == {tuple(own.values())}, name
+
+
+def test_the_pipeline_and_an_empty_table(spark, sf_dir, tmp_path):
+    pieces = corpus_pipeline.run(spark, sf_dir)
+    assert pieces.count() > 0 and pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+    table(spark, sf_dir, "documents").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, sf_dir, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

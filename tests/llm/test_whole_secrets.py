@@ -36,3 +36,15 @@ def test_time_grows_with_the_text():
     for text in (HEAD * 20_000, (HEAD + "\n" + LINE) * 5_000, HEAD + "-" * 500_000, "a://" * 100_000, "a://b:" + "c" * 500_000):
         spans("private_key", text), spans("url_login", text)
     assert time.time() - began < 20
+    began = time.time()
+    for text in ("eyJ" * 350_000 + " .eyJ", "eyJaaaaaaaaaaaa." * 60_000, "a1+.-" * 200_000, "1." * 500_000 + "a://", "x://y:" * 170_000):
+        spans("web_token", text), spans("url_login", text)
+    assert time.time() - began < 5
+
+
+def test_a_long_scheme_is_whole():
+    scheme = "a" + "b+" * 40 + "c"
+    assert spans("url_login", f"X{scheme}://u:p@h") == [f"{scheme}://u:p@"]
+    assert spans("url_login", "1http://u:p@h") == ["1http://u:p@"]
+    token = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12
+    assert spans("web_token", f"x={token} {token}") == [token, token]

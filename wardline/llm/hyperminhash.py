@@ -312,7 +312,14 @@ def _verified_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataF
     return _by_cell(dealt, ["root", "i", "j"], cell).distinct()
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    also: DataFrame | None = None,
+) -> DataFrame:
     """``(key, n, group)`` for every row: set size, and the smallest key reachable over links.
 
     Two rows are linked if the sets of their word shingles have ``percent`` hundredths of their union in
@@ -320,6 +327,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     or null, has none and is linked with nothing: its group is its own key. Repeated rows are one node. Null keys
     stay, but name no group unless it has no other key. An empty table gives no rows. Shingles and sets
     are compared by 64-bit hashes. Columns but key and text are ignored.
+
+    ``also`` are candidates of another search, ``(one, two)`` keys whose sets are to meet as well.
     """
     marked = written(sketches(docs, key, text, width), "hmh-sketches")
     nodes = marked.where("n > 0").groupBy("same").agg(
@@ -336,6 +345,11 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     members = written(banded.join(shared.select("band", "low"), "band"), "hmh-members")
     star = members.where("low != same").select(F.col("low").alias("a"), F.col("same").alias("b")).distinct()
     plausible = written(_estimated_pairs(star, nodes, percent), "hmh-plausible")
+    if also is not None:
+        node = marked.where("n > 0").select("key", "same").distinct()
+        found = also.join(node.withColumnRenamed("same", "a"), F.col("one") == F.col("key")).drop("key")
+        found = found.join(node.withColumnRenamed("same", "b"), F.col("two") == F.col("key"))
+        plausible = written(plausible.union(found.where("a != b").select("a", "b").distinct()), "hmh-plausible")
     clusters = connected(plausible)
     placed = _open_bands(members, clusters)
     if not placed.isEmpty():

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from wardline.llm.common import arrow_map, as_text, slices, table, unsigned_crc32_mod
 
 DIMENSIONS = 4096
+#: Bytes of text whose grams are counted at once: a text's characters take some fifty bytes each meanwhile.
+STEP_BYTES = 1 << 20
 UNKNOWN = "und"
 MAX_LANGUAGES = 2048
 _LETTERS: list[np.ndarray] = []
@@ -87,7 +89,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES):
             counts, _ = gram_counts(as_text(batch.column("text")))
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             for name in sorted(set(langs)):
@@ -151,7 +153,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES):
             counts, some = gram_counts(as_text(batch.column("text")))
             langs, second, score = [None] * len(some), [None] * len(some), np.zeros(len(some))
             if model.languages:
@@ -186,7 +188,7 @@ def recognised(docs: DataFrame, model: LanguageModel, text: str = "text") -> Dat
     known = np.array([name != UNKNOWN for name in model.languages])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, STEP_BYTES):
             counts, some = gram_counts(as_text(batch.column(text)))
             best, _, _ = decode(model, counts)
             yield batch.filter(pa.array(some & known[best]))

@@ -187,16 +187,19 @@ def packed(
                 yield pa.RecordBatch.from_arrays([pa.array(r[i : i + 2000], t) for r, t in zip(rows, kinds)], names)
 
         key_type = None
-        for batch in slices(batches, "text"):
-            key_type = batch.schema.field("key").type
-            for name, value in zip(batch.column("key").to_pylist(), as_text(batch.column("text"))):
-                ids = packer.text(value) + end
-                held.append((name, ids, 0, len(ids) // 4))
-                size += len(ids) // 4
-            if size >= round_ids:
-                yield from pack(False)
-        if held:
-            yield from pack(True)
+        try:
+            for batch in slices(batches, "text"):
+                key_type = batch.schema.field("key").type
+                for name, value in zip(batch.column("key").to_pylist(), as_text(batch.column("text"))):
+                    ids = packer.text(value) + end
+                    held.append((name, ids, 0, len(ids) // 4))
+                    size += len(ids) // 4
+                if size >= round_ids:
+                    yield from pack(False)
+            if held:
+                yield from pack(True)
+        finally:
+            packer.forget()
 
     picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = dict(picked.dtypes)["key"]

@@ -2,7 +2,8 @@
 
 A text is cut at blanks, where the tokenizer starts a new piece anyway, and the pieces' ids are
 kept by piece, packed as little-endian numbers, so that the ids of a text are one join of bytes.
-Plain words go to the tokenizer's merge model, all other pieces to the whole tokenizer.
+Plain words go to the tokenizer's merge model, all other pieces to the whole tokenizer. A text that holds the string
+of an added token, such as ``<|endoftext|>``, goes whole to the tokenizer, which gives that token's single id.
 """
 
 from __future__ import annotations
@@ -38,7 +39,10 @@ class Ids(dict):
 
     def __init__(self, path: str, lowers: bool, dtype: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        # such a token is looked for after lower-casing, so in any case of its letters
+        self.folded = [t.content.lower() for t in added if t.normalized and lowers]
         self.model, self.lowers, self.dtype = self.tokenizer.model, lowers, np.dtype(dtype)
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.marks: dict[str, bytes] = {}
@@ -114,6 +118,8 @@ class Ids(dict):
 
     def text(self, text: str) -> bytes:
         """Packed ids of a whole text."""
+        if any(t in text for t in self.added) or (self.folded and any(t in text.lower() for t in self.folded)):
+            return self._whole(text)
         if self.lowers:
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         pieces = text.replace("\n", " \n").split(" ")
@@ -126,6 +132,13 @@ class Ids(dict):
             return self._whole(text)
 
 
+    def forget(self) -> None:
+        """Let go of all pieces; a task that ends so leaves nothing to the tasks of other jobs in its worker."""
+        self.clear()
+        for kept in (self.old, self.marks):
+            kept.clear()
+
+
 _LOADED: dict[tuple, Ids] = {}
 
 
