@@ -26,9 +26,3 @@ def without(monkeypatch, name):
 @pytest.mark.parametrize("name", ["corpus_pipeline", "wardline.llm", "wardline.llm.queries"])
 def test_absent_part(monkeypatch, name):
     assert "pipeline" not in without(monkeypatch, name).queries()
-
-
-@pytest.mark.parametrize("name", ["xxhash", "public_tokenizers"])
-def test_missing_library_is_told(monkeypatch, name):
-    with pytest.raises(ModuleNotFoundError, match=name):
-        without(monkeypatch, name)
