@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline import functions as X
+from wardline.functions import ntz
 from wardline.operators import lifecycle, metrics, serve
 from wardline.operators.enrich import enrich, split_bad
 from wardline.operators.latest import apply_cdc, cdc_rows
@@ -315,6 +317,48 @@ def _(spark, sf):
     return decode_append(frames, RAW, "ingestion_timestamp")
 
 
+@query("topic_from_latest")
+def _(spark, sf):
+    """Only what arrives after the reader was set up: a quarter of the readings."""
+    path, later = shared_dir(spark, "latest"), F.second("measurement_timestamp") % 20 == 5
+    raw = raw_readings(spark, sf)
+    raw.filter(~later).write.json(path)
+    time.sleep(1.1)  # stores may keep whole seconds
+    now = spark.sql("SELECT string(current_timestamp())").first()[0]
+    time.sleep(1.1)
+    raw.filter(later).write.mode("append").json(path)
+    return read_json_folder(spark, path, start_after=now, streaming=False)
+
+
+@query("archived_topic")
+def _(spark, sf):
+    """A topic read in batches that move what they have read to an archive; all of it is in the stream's output."""
+    path = shared_dir(spark, "archived")
+    raw_readings(spark, sf).repartition(6).write.json(f"{path}/raw")
+    for _ in range(2):
+        (
+            read_json_folder(spark, f"{path}/raw", files_per_batch=2, archive=f"{path}/archive")
+            .withColumn("measurement_timestamp", F.col("measurement_timestamp").cast("timestamp_ntz"))
+            .writeStream.option("checkpointLocation", f"{path}/checkpoint")
+            .option("path", f"{path}/out")
+            .trigger(**UNTIL_DONE)
+            .start()
+            .awaitTermination()
+        )
+    return spark.read.parquet(f"{path}/out")
+
+
+@query("clock_now")
+def _(spark, sf):
+    """Readings enriched at the batch's own clock: all between the start of the query and its end."""
+    began = spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0]
+    rows = enrich(raw_readings(spark, sf)).select(
+        "measurement_type", ntz(F.col("enrichment_timestamp")).alias("at")
+    )
+    in_time = F.col("at").between(F.lit(began), F.lit(began + dt.timedelta(hours=1)))
+    return rows.groupBy("measurement_type").agg(F.count("*").alias("n"), F.bool_and(in_time).alias("in_time"))
+
+
 @query("enriched_topic")
 def _(spark, sf):
     frames = encode_append(_enriched(spark, sf), ENRICHED, "enrichment_timestamp")

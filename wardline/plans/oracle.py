@@ -6,9 +6,31 @@ from truncation, last writes from ranking: two ways to the same rows.
 
 from __future__ import annotations
 
-from wardline.operators.serve import TRENDS
-from wardline.plans.catalog import PATIENT
-from wardline.vitals import PREFIXES, VITALS
+from collections import namedtuple
+
+# Fixed values, written out again so that a slip in the code under test shows: the vital signs by code and column.
+_Vital = namedtuple("_Vital", "code prefix")
+VITALS = (
+    _Vital("RESPIRATORY_RATE", "respiratory_rate"),
+    _Vital("OXYGEN_SATURATION", "oxygen_saturation"),
+    _Vital("BLOOD_PRESSURE_SYSTOLIC", "blood_pressure"),
+    _Vital("HEART_RATE", "heart_rate"),
+    _Vital("TEMPERATURE", "temperature"),
+    _Vital("CONSCIOUSNESS", "consciousness"),
+)
+PREFIXES = tuple(v.prefix for v in VITALS)
+PATIENT = "P00000001"
+# Trend panels, their column, and whether only positive values count.
+TRENDS = {
+    "news2": ("news2_score", False),
+    "trust": ("news2_trust_score", False),
+    "heart_rate": ("heart_rate_value", True),
+    "respiratory_rate": ("respiratory_rate_value", True),
+    "oxygen_saturation": ("oxygen_saturation_value", True),
+    "temperature": ("temperature_value", True),
+    "blood_pressure": ("blood_pressure_value", True),
+    "consciousness": ("consciousness_value", True),
+}
 
 # One row per vital sign: shape of its derived values, in hundredths.
 _KINDS = """kinds(i, code, lowest, step, span, every, extra) AS (VALUES
@@ -103,6 +125,7 @@ raw AS (
   SELECT * EXCLUDE (anew) FROM marked WHERE NOT anew OR second(measurement_timestamp) % 20 = 5)"""
 )
 
+# Factors by tier, battery and signal.
 _FACTORS = """factors AS (
   SELECT *,
     CAST(raw_value AS DOUBLE) AS value,
@@ -116,6 +139,7 @@ _FACTORS = """factors AS (
     date_sub('hour', measurement_timestamp, ingestion_timestamp) AS age
   FROM raw)"""
 
+# Weights by age.
 _ENRICHED = """enriched AS (
   SELECT measurement_type, value, device_id, patient_id,
     CAST(CAST(tier * 0.7 + charge * 0.2 + reach * 0.1 AS DECIMAL(7, 2)) AS DOUBLE)
@@ -391,6 +415,11 @@ def _tables() -> dict[str, str]:
     scored = _from("scored", f"SELECT measurement_type, {_SCORED_COLUMNS} FROM scored")
     return {
         "raw_topic": _from("raw", "SELECT * FROM raw"),
+        "topic_from_latest": _from("raw", "SELECT * FROM raw WHERE second(measurement_timestamp) % 20 = 5"),
+        "archived_topic": _from("raw", "SELECT * FROM raw"),
+        "clock_now": _from(
+            "enriched", "SELECT measurement_type, count(*) AS n, TRUE AS in_time FROM enriched GROUP BY measurement_type"
+        ),
         "enriched_topic": _from("enriched", "SELECT * FROM enriched"),
         "routed_folders": _from(
             "scored",

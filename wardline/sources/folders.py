@@ -28,3 +28,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(place):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(place))
+
+
+def files(spark: SparkSession, path: str, ending: str) -> list[tuple[str, int]]:
+    """All files below a folder whose names end so, as Spark writes their paths, with their times in milliseconds."""
+    fs, place = _at(spark, path)
+    found, each = [], fs.listFiles(place, True)
+    while each.hasNext():
+        status = each.next()
+        if status.getPath().getName().endswith(ending):
+            uri = status.getPath().toUri().toString()
+            if uri.startswith("file:/") and not uri.startswith("file:///"):
+                uri = "file://" + uri.removeprefix("file:")
+            found.append((uri, status.getModificationTime()))
+    return found

@@ -17,6 +17,7 @@ from wardline.operators.totals import load_typed, totals
 from wardline.operators.window import finish_window, merge_sums, tumble_pivot, window_sums
 from wardline.plans.pipeline import Clocks, early_warning, scored_readings
 from wardline.schemas import ENRICHED, ROUTED, SCORED, SCORES_KEY, STORED_KEY
+from wardline.sources import folders
 from wardline.sources.upsert import UpsertTable, writer_of
 from wardline.vitals import BUCKETS
 
@@ -87,14 +88,16 @@ def start_fused(
     go and rows for them dropped.
 
     ``on_bad="quarantine"`` writes readings that ``split_bad`` sets aside, those without a patient
-    among them, to the folder ``quarantine``. With ``late="drop"`` a second query does that.
+    among them, to the folder ``quarantine``. With ``late="drop"`` a second query does that; if it fails, the
+    next batch of this one fails too.
     """
     within = _lateness(late, lateness)
     good, bad = _parted(raw, on_bad, quarantine)
     if within is None:
         return _start_keeping(raw, table, checkpoint, trigger, on_bad, at, compact_every, quarantine)
+    beside = None
     if bad is not None:
-        (
+        beside = (
             bad.writeStream.option("checkpointLocation", f"{checkpoint}/quarantine")
             .option("path", quarantine)
             .trigger(**(trigger or EVERY_MINUTE))
@@ -103,6 +106,8 @@ def start_fused(
     final = early_warning(good, at, on_bad, within)
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        if beside is not None and (failed := beside.exception()) is not None:
+            raise RuntimeError("the query that sets bad readings aside has failed") from failed
         # A batch comes in as many parts as there is state; rebalanced, it is few files.
         final = load_typed(rows, at.storage).hint("rebalance")
         table.upsert(final, batch_id, writer=writer_of(rows))
@@ -158,6 +163,10 @@ class Staged:
     real hops. Routed and scored readings of all vital signs share one folder partitioned by
     vital sign: one query and one write instead of six.
 
+    ``retention``, such as ``"7d"``, lets the folders between stages forget files written longer ago than that: they are
+    no longer listed, and ``drop_forgotten`` deletes them. It must be longer than a stage may be down. The raw
+    folder has a life cycle of its own (``read_json_folder(archive=...)``).
+
     ``late`` is as in ``start_fused``. With ``on_bad="quarantine"`` a query of its own writes bad
     readings to ``quarantine``.
     """
@@ -173,6 +182,7 @@ class Staged:
     file_format: str = "parquet"
     compact_every: int = COMPACT_EVERY
     buckets: int = BUCKETS
+    retention: str | None = None
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -187,6 +197,8 @@ class Staged:
         writer = df.select(*times).writeStream.format(self.file_format).outputMode("append")
         if by_type:
             writer = writer.partitionBy("measurement_type")
+        if self.retention is not None:
+            writer = writer.option("retention", self.retention)
         return (
             writer.option("checkpointLocation", self._path("checkpoints", name))
             .option("path", self._path(name))
@@ -202,6 +214,23 @@ class Staged:
         reader = self.spark.readStream.schema(schema).format(self.file_format)
         return reader.load(self._path(name))
 
+    def drop_forgotten(self) -> int:
+        """Delete the files between stages that their folder no longer lists; how many there were.
+
+        Files of a batch that is not committed yet are not listed either, so only files written before
+        the oldest listed one go.
+        """
+        dropped = 0
+        for name in ("enriched", "routed", "scored"):
+            listed = set(self.spark.read.format(self.file_format).load(self._path(name)).inputFiles())
+            found = folders.files(self.spark, self._path(name), f".{self.file_format}")
+            oldest = min((at for file, at in found if file in listed), default=None)
+            for file, at in found:
+                if oldest is not None and file not in listed and at < oldest:
+                    folders.delete(self.spark, file)
+                    dropped += 1
+        return dropped
+
     def enrich(self, raw: DataFrame) -> StreamingQuery:
         """Stage 1: raw to enriched readings."""
         good, _ = _parted(raw, self.on_bad, self._path("quarantine"))
