@@ -288,3 +288,32 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
     ).withColumn("contaminated", is_contaminated(F.col("n_words"), F.col("n_hit")))
+
+
+OP4_SQL = r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[p:p + least(len(w), 13) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT row_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS words
+  FROM (SELECT row_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+    FROM worded, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+found AS (SELECT row_id, p, size, item_id FROM places JOIN windows USING (size, words)),
+hits AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(p, p + size)) AS place FROM found) GROUP BY row_id),
+named AS (
+  SELECT row_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS name FROM found) GROUP BY row_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM worded LEFT JOIN hits USING (row_id) LEFT JOIN named USING (row_id)"""

@@ -358,6 +358,8 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = unsigned_crc32_mod(F.col("doc_id"), 7) == 2
     found, model = score_documents(docs, ~held)
+    perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
+    train_tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
     return found.select(
-        "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score", perplexity
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.bm25 import op3_bm25_search
 from wardline.llm.chat import OP7_SQL, op7_chat_format
-from wardline.llm.decontaminate import op4_decontaminate
+from wardline.llm.decontaminate import OP4_SQL, op4_decontaminate
 from wardline.llm.huffman import op10_huffman_files
 from wardline.llm.hyperminhash import OP13_SQL, op13_hyperminhash
 from wardline.llm.importance import OP11_SQL, op11_importance_resample
@@ -41,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: The others need a tokenizer, a hash or a search that SQL does not have; the tests hold them against plain Python.
 SQL: dict[str, str] = {
+    "op4_decontaminate": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op7_chat_format": OP7_SQL,
     "op11_importance_resample": OP11_SQL,
