@@ -3,9 +3,9 @@
 The index is built once and kept in the shared folder, a shard a row: sorted terms, and for each
 its documents with their counts. Idf and mean length are global, so scores of different shards
 compare. Queries come in blocks of bounded size that are broadcast. In a shard the documents stand
-in blocks; for each query and block the sum of the terms' block maxima bounds what any document
-there can score, and a block is only scored for the queries whose k-th best score so far it can
-reach. Blocks with the highest bounds go first.
+in blocks. What rare terms add to a score is worked out for each document, once; for the frequent terms, held as a
+dense matrix, their block maxima bound it. A block is only scored in full for the queries whose k-th best score so
+far the two together can reach. Blocks with the highest bounds go first.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ def _expanded(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarr
     begin = np.where(which > 0, ends[which - 1], 0)
     size = ends[which] - begin
     total = np.cumsum(size)
-    at = np.arange(total[-1] if len(total) else 0) - np.repeat(total - size, size) + np.repeat(begin, size)
+    at = np.arange(total[-1] if len(total) else 0) + np.repeat(begin - total + size, size)
     return at, size
 
 
@@ -178,42 +178,36 @@ class Shard:
         self.weights[queries.query[entry], np.repeat(np.arange(len(common)), many)] = queries.weight[entry]
         rare = ~in_dense
         self.term, self.doc, self.impact = self.term[rare], self.doc[rare], self.impact[rare]
-        order = np.argsort(self.doc // BLOCK_ROWS, kind="stable")
+        order = np.argsort(self.doc, kind="stable")
         self.term, self.doc, self.impact = self.term[order], self.doc[order], self.impact[order]
         self.blocks = -(-self.n // BLOCK_ROWS)
-        self.cuts = np.searchsorted(self.doc // BLOCK_ROWS, np.arange(self.blocks + 1))
+        self.cuts = np.searchsorted(self.doc, np.arange(self.blocks + 1) * BLOCK_ROWS)
 
-    def _rare(self, block: int, place: np.ndarray, wide: int, maxima: bool = False) -> np.ndarray:
-        """Scores (queries x documents, or x 1 by block maxima) from the rare terms of a block; ``place``: row of a query, or -1."""
+    def _rare(self, block: int, wide: int) -> np.ndarray:
+        """Scores (documents x queries) from the rare terms of a block."""
         a, b = self.cuts[block], self.cuts[block + 1]
-        term, impact, column = self.term[a:b], self.impact[a:b], self.doc[a:b] - block * BLOCK_ROWS
-        if maxima and b > a:
-            begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-            term, impact, column = term[begins], np.maximum.reduceat(impact, begins), np.zeros(len(begins), np.int64)
-        rows = int(place.max(initial=-1)) + 1
-        entry, many = _expanded(self.q.ends, term)
-        row = place[self.q.query[entry]]
-        value = self.q.weight[entry] * np.repeat(impact, many)
-        cell = row * wide + np.repeat(column, many)
-        ok = row >= 0
-        return np.bincount(cell[ok], value[ok], rows * wide).reshape(rows, wide)
+        many_queries = len(self.q.ids)
+        entry, many = _expanded(self.q.ends, self.term[a:b])
+        # document by document, so that the sums of one stand close together
+        cell = np.repeat((self.doc[a:b] - block * BLOCK_ROWS) * many_queries, many)
+        cell += self.q.query[entry]
+        value = np.repeat(self.impact[a:b], many)
+        value *= self.q.weight[entry]
+        return np.bincount(cell, value, wide * many_queries).reshape(wide, many_queries)
 
     def search(self, k: int, best: np.ndarray, names: np.ndarray) -> None:
         """Bring ``best`` (scores, falling) and ``names`` (keys) of all queries up to date with this shard."""
-        everyone = np.arange(len(self.q.ids))
-        bounds = np.zeros((len(everyone), self.blocks))
-        for b in range(self.blocks):
-            peak = self.matrix[b * BLOCK_ROWS : (b + 1) * BLOCK_ROWS].max(axis=0, initial=0)
-            bounds[:, b] = self.weights @ peak + self._rare(b, everyone, 1, maxima=True)[:, 0]
+        peaks = [self.matrix[b * BLOCK_ROWS : (b + 1) * BLOCK_ROWS].max(axis=0, initial=0) for b in range(self.blocks)]
+        bounds = self.weights @ np.array(peaks).T
         for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
+            rows = self.matrix[b * BLOCK_ROWS : (b + 1) * BLOCK_ROWS]
+            rare = self._rare(b, len(rows))
+            bound = bounds[:, b] + rare.max(axis=0)
             # a bound may be a rounding error short; scores of 0 are no hits
-            alive = np.flatnonzero((bounds[:, b] * (1 + 1e-9) + 1e-9 >= best[:, -1]) & (bounds[:, b] > 0))
+            alive = np.flatnonzero((bound * (1 + 1e-9) + 1e-9 >= best[:, -1]) & (bound > 0))
             if not len(alive):
                 continue
-            rows = self.matrix[b * BLOCK_ROWS : (b + 1) * BLOCK_ROWS]
-            place = np.full(len(everyone), -1)
-            place[alive] = np.arange(len(alive))
-            scores = np.round(self.weights[alive] @ rows.T + self._rare(b, place, len(rows)), _DIGITS)
+            scores = np.round(self.weights[alive] @ rows.T + rare[:, alive].T, _DIGITS)
             ids = self.ids[b * BLOCK_ROWS : (b + 1) * BLOCK_ROWS]
             better = np.flatnonzero((scores.max(axis=1) >= best[alive, -1]) & (scores.max(axis=1) > 0))
             if not len(better):
