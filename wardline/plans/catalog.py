@@ -72,6 +72,8 @@ CATALOG: dict[str, Query] = {}
 PATIENT = "P00000001"
 SERIES = ["metric", "instance", "env"]
 DAY = "1 day"
+# Events in a file of a raw topic, about: six times as many readings, 30 MB of JSON before compression.
+EVENTS_PER_FILE = 20_000
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -330,14 +332,26 @@ def _(spark, sf):
     return read_json_folder(spark, path, start_after=now, streaming=False)
 
 
+def _raw_topic(spark: SparkSession, sf: str, path: str) -> int:
+    """All readings as a topic of JSON files, six or more; gives the files of a batch, a third of them.
+
+    Events are dealt out to the files, a bounded number each, before they fan out to readings, so that what is
+    shuffled is two numbers an event. JSON is long-winded, so the files are compressed.
+    """
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id")
+    files = max(2, -(-events.count() // (3 * EVENTS_PER_FILE)))
+    readings_from_events(events.repartition(3 * files)).write.option("compression", "snappy").json(path)
+    return files
+
+
 @query("archived_topic")
 def _(spark, sf):
     """A topic read in batches that move what they have read to an archive; all of it is in the stream's output."""
     path = shared_dir(spark, "archived")
-    raw_readings(spark, sf).repartition(6).write.json(f"{path}/raw")
+    files = _raw_topic(spark, sf, f"{path}/raw")
     for _ in range(2):
         (
-            read_json_folder(spark, f"{path}/raw", files_per_batch=2, archive=f"{path}/archive")
+            read_json_folder(spark, f"{path}/raw", files_per_batch=files, archive=f"{path}/archive")
             .withColumn("measurement_timestamp", F.col("measurement_timestamp").cast("timestamp_ntz"))
             .writeStream.option("checkpointLocation", f"{path}/checkpoint")
             .option("path", f"{path}/out")
