@@ -712,11 +712,10 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_tumble_final")
 def _(spark, sf):
-    """The fused stream over JSON files, two a batch, late rows kept."""
+    """The fused stream over JSON files, a third of them a batch, late rows kept."""
     path = shared_dir(spark, "fused")
-    raw = raw_readings(spark, sf)
-    raw.repartition(6).write.json(f"{path}/raw")
-    stream = read_json_folder(spark, f"{path}/raw", files_per_batch=2)
+    files = _raw_topic(spark, sf, f"{path}/raw")
+    stream = read_json_folder(spark, f"{path}/raw", files_per_batch=files)
     table = stored_table_at(spark, f"{path}/table", null_key="drop")
     start_fused(
         stream, table, f"{path}/checkpoint", late="keep", trigger=UNTIL_DONE, at=fixed_clocks()
