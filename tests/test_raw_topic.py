@@ -1,4 +1,4 @@
-"""The topic of JSON files that streams read."""
+"""The topic of JSON files that streams read, and a table's first batch."""
 
 import glob
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wardline.plans import catalog
 from wardline.plans.readings import raw_readings
 from wardline.sources.json_topics import read_json_folder
+from wardline.sources.partitioned import PartitionedTable
 
 
 def _events(spark, path, n):
@@ -31,3 +32,14 @@ def test_topic_of_few_events(spark, tmp_path):
     assert catalog._raw_topic(spark, str(tmp_path), str(tmp_path / "raw")) == 2
     assert len(glob.glob(str(tmp_path / "raw" / "part-*"))) == 6
     assert read_json_folder(spark, str(tmp_path / "raw"), streaming=False).count() == 600
+
+
+def test_first_batch_is_not_kept_in_memory(spark, tmp_path, monkeypatch):
+    kept, persist = [], type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *a: (kept.append(df), persist(df, *a))[1])
+    rows = spark.range(20).select("id", (F.col("id") * 2).alias("x"))
+    table = PartitionedTable(spark, str(tmp_path / "t"), rows.schema, ["id"])
+    for batch in (0, 1):
+        table.writer()(rows.withColumn("x", F.col("x") + batch), batch)
+        assert len(kept) == batch
+    assert sorted((r.id, r.x) for r in table.read().collect()) == [(n, 2 * n + 1) for n in range(20)]

@@ -618,10 +618,10 @@ def _(spark, sf):
 def _(spark, sf):
     """The fused stream over JSON files into partitioned folders, which each batch replaces whole."""
     path = shared_dir(spark, "overwrite")
-    raw_readings(spark, sf).repartition(6).write.json(f"{path}/raw")
+    files = _raw_topic(spark, sf, f"{path}/raw")
     table = partitioned_at(spark, f"{path}/table", null_key="drop")
     start_partitioned(
-        read_json_folder(spark, f"{path}/raw", files_per_batch=2),
+        read_json_folder(spark, f"{path}/raw", files_per_batch=files),
         table,
         f"{path}/checkpoint",
         lateness="60 days",

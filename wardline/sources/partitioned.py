@@ -93,12 +93,16 @@ class PartitionedTable:
         """
         pending = f"{self.path}/pending/{batch_id:012d}"
         if not folders.exists(self.spark, f"{pending}/_SUCCESS"):
+            fresh = self._placed(rows)
             # looked at for its folders and for its rows, so kept: a stream's batch is to run once
-            fresh = self._placed(rows).persist()
+            again = self.forget_after is not None or folders.exists(self.spark, self.rows_path)
+            if again:
+                fresh = fresh.persist()
             try:
                 self._merged(fresh, combine).write.mode("overwrite").parquet(pending)
             finally:
-                fresh.unpersist()
+                if again:
+                    fresh.unpersist()
         (
             self.spark.read.schema(self._full)
             .parquet(pending)
