@@ -1,13 +1,17 @@
-"""The topic of JSON files that streams read, and a table's first batch."""
+"""The topic of JSON files that streams read, and merges of a table's first and of expired rows."""
 
+import datetime as dt
 import glob
 
 from pyspark.sql import functions as F
 
 from wardline.plans import catalog
-from wardline.plans.readings import raw_readings
+from wardline.plans.pipeline import fixed_clocks, scored_readings
+from wardline.plans.readings import raw_readings, readings_from_events
 from wardline.sources.json_topics import read_json_folder
 from wardline.sources.partitioned import PartitionedTable
+from wardline.streaming import sums
+from wardline.streaming.sums import LAST_SEEN, add_sums, sums_at
 
 
 def _events(spark, path, n):
@@ -43,3 +47,19 @@ def test_first_batch_is_not_kept_in_memory(spark, tmp_path, monkeypatch):
         table.writer()(rows.withColumn("x", F.col("x") + batch), batch)
         assert len(kept) == batch
     assert sorted((r.id, r.x) for r in table.read().collect()) == [(n, 2 * n + 1) for n in range(20)]
+
+
+def test_expired_sums_without_new_readings_are_not_merged_again(spark, tmp_path, monkeypatch):
+    events = spark.range(60).select(F.col("id").alias("event_id"), (F.col("id") % 3).alias("user_id"))
+    scored = scored_readings(readings_from_events(events), fixed_clocks()).where("patient_id is not null")
+    table, noon = sums_at(spark, str(tmp_path / "t"), null_key="drop"), dt.datetime(2024, 3, 1, 12)
+    add_sums(table, scored, 0, noon, dt.timedelta(minutes=5))
+    before = table.read().collect()
+    some = scored.where("measurement_timestamp < timestamp_ntz'2024-01-01 00:02:00'")
+    merged, merge = [], sums.merge_sums
+    monkeypatch.setattr(sums, "merge_sums", lambda rows, *a: (merged.append(rows.count()), merge(rows, *a))[1])
+    add_sums(table, some, 1, noon + dt.timedelta(minutes=20), dt.timedelta(minutes=5))
+    after = {(r.patient_id, r.window_start): r for r in table.read().collect()}
+    new = {k for k, r in after.items() if r[LAST_SEEN] > noon}
+    assert merged == [len(new)] and 0 < len(new) < len(before) == len(after)
+    assert all(after[r.patient_id, r.window_start] == r for r in before if (r.patient_id, r.window_start) not in new)

@@ -59,12 +59,14 @@ def add_sums(
     )
 
     def combine(both: DataFrame) -> DataFrame:
-        if lifetime is not None:
-            idle = F.col(LAST_SEEN) < F.lit(now - lifetime).cast("timestamp_ntz")
-            new = both.filter(FRESH).select(*STORED_KEY)
-            expired = both.filter(~F.col(FRESH) & idle)
-            both = both.filter(F.col(FRESH) | ~idle).unionByName(expired.join(new, STORED_KEY, "left_anti"))
-        return merge_sums(both, F.max(LAST_SEEN).alias(LAST_SEEN), F.max(BATCH).alias(BATCH))
+        merged = lambda rows: merge_sums(rows, F.max(LAST_SEEN).alias(LAST_SEEN), F.max(BATCH).alias(BATCH))
+        if lifetime is None:
+            return merged(both)
+        idle = F.col(LAST_SEEN) < F.lit(now - lifetime).cast("timestamp_ntz")
+        alive = merged(both.filter(F.col(FRESH) | ~idle))
+        # one row per window is stored, so idle sums without new readings have nothing to merge with
+        kept = both.filter(~F.col(FRESH) & idle).join(both.filter(FRESH).select(*STORED_KEY), STORED_KEY, "left_anti")
+        return alive.unionByName(kept.select(*alive.columns))
 
     table.write(fresh, batch_id, combine)
 
