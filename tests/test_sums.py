@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from tests.rows import NOON, at, bag, raw_frame, reading
+from wardline.plans import catalog
 from wardline.plans.pipeline import fixed_clocks, scored_readings, stored_table
 from wardline.schemas import RAW
 from wardline.sources.json_topics import without_repeats
@@ -111,6 +112,27 @@ def test_repeats_on_a_stream_with_bounded_state(spark, tmp_path):
     assert held[-3:] == [240, 240, 240]
 
 
+def test_repeats_are_remembered_on_disk_in_any_session(spark, tmp_path, monkeypatch):
+    """Spark's own default holds all state on the heap."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(provider)
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(catalog, "shared_dir", lambda spark, name: f"{folder}/{name}")
+    spark.createDataFrame([(i * 1250, i) for i in range(40)], "event_id long, user_id long").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    spark.conf.set(provider, heap)
+    try:
+        rows = catalog.CATALOG["stream_duplicates"](spark, str(tmp_path)).count()
+        assert spark.conf.get(provider) == heap
+    finally:
+        spark.conf.set(provider, before)
+    assert rows == catalog.CATALOG["news2_pipeline"](spark, str(tmp_path)).where("patient_id is not null").count() > 0
+    state = [f.suffix for f in folder.rglob("state/0/*/*")]
+    assert ".delta" not in state and {".zip", ".changelog"} & set(state)
+
+
 def test_measures_of_batches(spark, tmp_path):
     measures, folder = BatchMeasures(keep=2), str(tmp_path / "raw")
     table = partitioned_at(spark, str(tmp_path / "t"), null_key="drop")

@@ -42,7 +42,7 @@ from wardline.schemas import (
     SCORED_TOPICS,
     TOTALS,
 )
-from wardline.session import prepare, shared_dir
+from wardline.session import prepare, shared_dir, state_on_disk
 from wardline.sources import folders, ingest
 from wardline.sources.bucketed import file_bucket, new_name, save_bucketed
 from wardline.sources.json_topics import (
@@ -843,7 +843,9 @@ def _(spark, sf):
     middle = ends["low"] + (ends["high"] - ends["low"]) / 2
     first, rest = raw.filter(sent <= F.lit(middle)), raw.filter(sent > F.lit(middle))
     again = first.filter(sent > F.lit(middle - dt.timedelta(hours=23)))
-    _sums_in_runs(spark, path, [first.unionAll(again), rest.unionAll(again)], table, within="24 hours")
+    # the first run has no watermark yet, so its state is all of its readings
+    with state_on_disk(spark):
+        _sums_in_runs(spark, path, [first.unionAll(again), rest.unionAll(again)], table, within="24 hours")
     return final_of(table, fixed_clocks())
 
 

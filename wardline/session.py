@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +15,15 @@ _REQUIRED = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+#: State of any size: on local disk, with one bounded cache for all partitions of an executor.
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # counting costs one more look-up for each row written
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
 
 def build_session(app: str = "wardline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on.
@@ -52,6 +63,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started in here keep their state on local disk, whatever the session has; Spark's default is the heap."""
+    before = {key: spark.conf.get(key, None) for key in _ON_DISK}
+    for key, value in _ON_DISK.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
